@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import os
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..workers import importable
+
 #: Rows of a batch handed to Python; with long texts this bounds a worker's memory.
 BATCH_ROWS = 512
 BATCH_BYTES = 16 << 20
@@ -23,9 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches are bounded in rows and, where Spark can, in bytes: one may hold only very long texts. Python workers on this file's path can import it."""
-    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
-    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
+    importable(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
@@ -66,7 +65,19 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.written_at = path
+    return back
+
+
+def free(df: DataFrame) -> None:
+    """Deletes a table made by cut() that nothing reads any more, and the shuffle files of jobs that have ended."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(df.written_at)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    gc.collect()
+    jvm.System.gc()
 
 
 def components(edges: DataFrame, *, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Equal texts first collapse into one, that of the smallest id. Of the others, every string of ``length`` bytes picks one
 anchor by its content alone: the leftmost smallest hash of the ``gram``-byte strings in it. Equal strings have equal
-anchors at equal places, so only suffixes at anchors are sorted: about one in 35 bytes. A suffix's key starts with its
+anchors at equal places, so only suffixes at anchors are sorted: about one in 27 bytes. A suffix's key starts with its
 leading bytes; sampled splitters range-partition the suffixes by it, buckets are sorted locally by multikey quicksort
 (by the leading bytes, then runs of equals by what follows, each compared by hash), and neighbours are compared.
 Suffixes whose whole surroundings (all strings of that anchor) are equal are repeats but for the first. Where
@@ -25,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, small_batches
+from .common import arrow_map, cut, free, small_batches
 
 LENGTH = 100
-GRAM = 32
+GRAM = 48
 #: Bytes hashed at a time; texts longer than that are taken in pieces that overlap by a string.
 BLOCK = 1 << 20
 #: Suffixes of a bucket: it is sorted in one task's memory (about 60 bytes each).
@@ -211,11 +211,13 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     own = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("id"), F.col(id_col).alias("_raw"), F.substring(F.unhex(F.sha2(text, 256)), 1, 16).alias("h"), text.alias("t"))
     texts = cut(own.where(F.octet_length("t") >= length).groupBy("h").agg(F.min("id").alias("first_id"), F.first("t").alias("t")), "texts")
+    written = [texts]
     if texts.groupBy("first_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
         texts = texts.select("h", "first_id", F.col("first_id").alias("rep"), "t")
     else:  # several texts under one id: they are numbered in the order of ids
         numbers = cut(texts.select("first_id", "h").repartitionByRange("first_id", "h").sortWithinPartitions("first_id", "h").select("h", F.monotonically_increasing_id().alias("rep")), "numbers")
         texts = cut(texts.join(numbers, "h").select("h", "first_id", "rep", "t"), "texts")
+        written.append(texts)
 
     def find(reps, ts):
         made = list(anchors([t.encode() for t in ts], length, gram))
@@ -228,6 +230,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     n = max(1, -(-suffixes.count() // BUCKET))
     parts = max(n, int(spark.conf.get("spark.sql.shuffle.partitions")))
     sorted_ = cut(_bucketed(suffixes, ["key", "around", "rep", "start"], parts, _compare_suffixes, "kind int, rep long, start long, count short"), "sorted")
+    free(suffixes)
     again = sorted_.where("kind = 1").groupBy("rep").agg(F.collect_list(F.struct("start", "count")).alias("at"))
 
     def strings(reps, ts, ats):
@@ -243,6 +246,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     single = cut(arrow_map(texts.select("rep", "t").join(again, "rep"), strings, "h long, rep long, start long"), "strings")
     parts = max(1, -(-single.count() // BUCKET), int(spark.conf.get("spark.sql.shuffle.partitions")))
     compared = cut(_bucketed(single, ["h", "rep", "start"], parts, _compare_strings, "kind int, h long, rep long, start long"), "compared")
+    free(single)
     # Across boundaries: a bucket's first string is a repeat if an earlier bucket ends with it. Two rows a bucket.
     heads, tails = compared.where("kind = 1"), compared.where("kind = 2").select("h", F.col("rep").alias("r2"), F.col("start").alias("s2"))
     crossing = heads.join(tails, "h").where("r2 < rep or (r2 = rep and s2 < start)").select("rep", "start").distinct()
@@ -257,6 +261,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     schema = "h binary, first_id long, n_removed long, n_spans long, kept_sha256 string, n_kept long" + ", kept_text binary" * with_text
     done = arrow_map(texts.join(spans, "rep", "left").select("h", "first_id", "t", "at"), keep, schema)
     done = cut(done, "done")
+    for table in written:
+        free(table)
     rows = own.select("id", "_raw", "h", F.octet_length("t").cast("long").alias("n_bytes"), F.when(F.octet_length("t") < length, F.sha2("t", 256)).alias("sha"), *([F.when(F.octet_length("t") < length, F.encode("t", "utf-8")).alias("short")] if with_text else []))
     out = rows.join(done.hint("merge"), "h", "left")
     long, first = F.col("n_bytes") >= length, F.col("id") == F.col("first_id")
