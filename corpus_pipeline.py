@@ -29,7 +29,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode_ids(docs.select("doc_id", "lang", "source", "text"), tokenizer_path()).selectExpr("doc_id", "lang", "source", "size(token_ids) AS n_tokens", "token_ids")
+    return bpe.encode_ids(docs, tokenizer_path(), carry=("doc_id", "lang", "source")).selectExpr("doc_id", "lang", "source", "size(token_ids) AS n_tokens", "token_ids")
 
 
 STAGES = [("quality", keep_quality), ("near_duplicates", drop_near_duplicates), ("decontamination", drop_contaminated), ("secrets", redact_secrets), ("bpe", encode)]

@@ -16,13 +16,15 @@ import hashlib
 import re
 import struct
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, small_batches
+from .common import arrow_map
 
 LEAF = 4096
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 500_000
 CACHE_CHUNK_CHARS = 64
 _CHUNK = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 #: Texts of these characters alone are their own NFC form, and their pre-tokens need no table of Unicode classes.
@@ -104,13 +106,22 @@ class TreeEncoder:
         return ids
 
     # Whole texts -----------------------------------------------------------------------------------------------
+    def _piece(self, p: str) -> bytes:
+        """The ids of one pre-token of plain letters or signs: no need of the stages before the model."""
+        out = self.cache.get(p)
+        if out is None:
+            tokens = self.tok.model.tokenize(p if p.isascii() else p.translate(_BYTES))
+            out = self.cache[p] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        return out
+
     def _learn(self, chunks: set[str]) -> None:
         """Puts the chunks' ids into the cache, as little-endian 32-bit integers."""
         short, cache = [], self.cache
         for c in chunks:
-            if _SINGLE.fullmatch(c):  # one pre-token: no need of the stages before the model
-                tokens = self.tok.model.tokenize(c if c.isascii() else c.translate(_BYTES))
-                cache[c] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+            if _SINGLE.fullmatch(c):
+                self._piece(c)
+            elif len(c) <= self.leaf and _PLAIN.fullmatch(c):
+                cache[c] = b"".join([self._piece(p) for p in _PIECE.findall(c.lower())])
             elif len(c) <= self.leaf:
                 short.append(c)
             else:
@@ -138,7 +149,7 @@ class TreeEncoder:
         out = [b"".join(map(get, cs)) for cs in chunks]
         for c in new:
             if len(c) > CACHE_CHUNK_CHARS:
-                del self.cache[c]
+                self.cache.pop(c, None)
         return out
 
     def decode_batch(self, ids: list[bytes]) -> list[str]:
@@ -173,17 +184,13 @@ def encode_digests(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", t
     return arrow_map(docs.select(F.col(id_col), F.col(text_col).cast("string")), f, f"`{id_col}` {kind}, {SCHEMA}")
 
 
-def encode_ids(docs: DataFrame, tokenizer: str, *, text_col: str = "text", out_col: str = "token_ids", leaf: int = LEAF) -> DataFrame:
-    """The rows with their token ids as an array column; out_col replaces a column of that name."""
-    from pyspark.sql.functions import pandas_udf
-
-    small_batches(docs.sparkSession)
-
-    @pandas_udf("array<int>")
-    def ids(texts):
-        import numpy as np
-        import pandas as pd
+def encode_ids(docs: DataFrame, tokenizer: str, *, text_col: str = "text", out_col: str = "token_ids", carry: tuple[str, ...] = ("doc_id",), leaf: int = LEAF) -> DataFrame:
+    """The carried columns of each row and its token ids as an array."""
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema)
 
-        return pd.Series([np.frombuffer(b, dtype="<i4") for b in encoder(tokenizer, leaf).encode_batch([t or "" for t in texts])])
+    def f(*columns):
+        made = encoder(tokenizer, leaf).encode_batch([t or "" for t in columns[-1]])
+        ends = np.cumsum([0, *(len(b) // 4 for b in made)])
+        return *columns[:-1], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(made), "<i4")))
 
-    return docs.withColumn(out_col, ids(F.col(text_col).cast("string")))
+    return arrow_map(docs.select(*carry, F.col(text_col).cast("string")), f, f"{kinds}, `{out_col}` array<int>")

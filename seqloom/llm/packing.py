@@ -1,27 +1,31 @@
-"""Token-ID output: best-fit-decreasing packing of token sequences into rows of one length.
+"""Token-ID output: best-fit-decreasing packing of token sequences into rows of one length, in binary columns.
 
 Sequences longer than a row are split into whole rows and a rest, losslessly. What is shorter is placed, longest first,
 into the row with the least room that still holds it; a segment tree over the possible amounts of room finds that
-amount in O(log length). Sequences are counted by length first, so the search runs over counts (at most ``length`` of them),
-not over documents: its outcome is a table of patterns, and documents are dealt to the slots of the patterns by their
-rank within their length. Written rows have the packed ids, the cumulative lengths of their segments, and positions that
-start again at 0 with each segment.
+amount in O(log length). Each task packs its documents in blocks of about ``block_tokens`` tokens, so there is no shuffle, memory
+is bounded and a lost task is simply done again; only the last rows of a block may stay part empty. A row has the packed
+ids, the cumulative lengths of its segments, positions that start again at 0 with each segment, and where each
+segment comes from. Ids and positions are little-endian unsigned integers of 16 bits where all ids fit, else of 32.
 
-Null and empty texts have no tokens and take no room; they are in no row. Repeated rows are packed each for itself. An
-empty table gives no rows.
+Null and empty texts have no tokens and are in no row. Repeated rows are packed each for itself; a null id stays null.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import small_batches
 
 LENGTH = 2048
+BLOCK_TOKENS = 4_000_000
 
 
 class RoomTree:
@@ -96,34 +100,62 @@ def pack_counts(counts: dict[int, int], length: int) -> list[tuple[tuple[int, ..
     return sorted((p, n) for patterns in by_room.values() for p, n in patterns.items())
 
 
-def pack(tokens: DataFrame, *, id_col: str = "doc_id", ids_col: str = "token_ids", length: int = LENGTH, pad_id: int = 0) -> DataFrame:
+def pack_block(ids: list, sequences: list[np.ndarray], length: int, pad_id: int, kind: np.dtype) -> list[tuple]:
+    """[(n_tokens, ids, segment ends, positions, document ids, offsets)] of the rows that hold the sequences."""
+    by_size: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    for d, s in enumerate(sequences):
+        for at in range(0, len(s), length):
+            by_size[min(length, len(s) - at)].append((d, at))
+    for parts in by_size.values():
+        parts.reverse()
+    rows = []
+    for pattern, many in pack_counts({n: len(p) for n, p in by_size.items()}, length):
+        ends = np.cumsum(pattern)
+        positions = np.zeros(length, kind)
+        for end, size in zip(ends, pattern, strict=True):
+            positions[end - size : end] = np.arange(size)
+        positions = positions.tobytes()
+        for _ in range(many):
+            packed, places = np.full(length, pad_id, kind), [by_size[size].pop() for size in pattern]
+            for (d, at), end, size in zip(places, ends, pattern, strict=True):
+                packed[end - size : end] = sequences[d][at : at + size]
+            rows.append((int(ends[-1]), packed.tobytes(), ends.tolist(), positions, [ids[d] for d, _ in places], [at for _, at in places]))
+    return rows
+
+
+def pack(tokens: DataFrame, *, id_col: str = "doc_id", ids_col: str = "token_ids", length: int = LENGTH, pad_id: int = 0, vocabulary: int = 1 << 16, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Rows (row, n_tokens, token_ids, segment_ends, positions, doc_ids, doc_offsets); ids and positions are padded to length."""
-    spark = tokens.sparkSession
-    n = F.size(F.coalesce(F.col(ids_col), F.array().cast("array<int>")))
-    parts = tokens.where(n > 0).select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"), F.posexplode(F.sequence(F.lit(0), ((n - 1) / length).cast("int"))).alias("k", "_"))
-    parts = cut(parts.select("id", (F.col("k") * length).alias("at"), F.slice("ids", F.col("k") * length + 1, length).alias("ids")), "parts").withColumn("size", F.size("ids"))
-    counts = {r["size"]: r["count"] for r in parts.groupBy("size").count().collect()}  # at most length rows
-    slots, base = [], 0
-    for pattern, many in pack_counts(counts, length):
-        for k, size in enumerate(pattern):
-            slots.append((base, many, k, size))
-        base += many
-    # A slot of a pattern takes a stretch of the ranks of its length.
-    start, rows = defaultdict(int), []
-    for first, many, k, size in slots:
-        rows.append((size, start[size], first, many, k))
-        start[size] += many
-    plan = spark.createDataFrame(rows, "size int, lo long, first long, many long, k int")
-    shard = F.pmod(F.xxhash64("id", "at"), F.lit(64))
-    numbered = parts.withColumn("shard", shard).withColumn("r", F.row_number().over(Window.partitionBy("size", "shard").orderBy("id", "at")))
-    sizes = parts.withColumn("shard", shard).groupBy("size", "shard").count().withColumn("before", F.sum("count").over(Window.partitionBy("size").orderBy("shard")) - F.col("count")).select("size", "shard", "before")
-    ranked = numbered.join(sizes, ["size", "shard"]).withColumn("rank", F.col("before") + F.col("r") - 1)
-    placed = ranked.join(plan, "size").where("rank >= lo and rank < lo + many").select((F.col("first") + F.col("rank") - F.col("lo")).alias("row"), "k", "id", "at", "ids")
-    whole = placed.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("k", "id", "at", "ids"))).alias("s"))
-    room = F.lit(length) - F.col("n_tokens")
-    return whole.withColumn("n_tokens", F.aggregate("s", F.lit(0), lambda a, y: a + F.size(y.ids))).select(
-        "row", "n_tokens", F.concat(F.flatten("s.ids"), F.array_repeat(F.lit(pad_id), room)).alias("token_ids"),
-        F.transform("s", lambda x, i: F.aggregate(F.slice(F.col("s"), 1, i + 1), F.lit(0), lambda a, y: a + F.size(y.ids))).alias("segment_ends"),
-        F.concat(F.flatten(F.transform("s", lambda x: F.sequence(F.lit(0), F.size(x.ids) - 1))), F.array_repeat(F.lit(0), room)).alias("positions"),
-        F.col("s.id").alias("doc_ids"), F.col("s.at").alias("doc_offsets"),
-    )
+    small_batches(tokens.sparkSession)
+    kind = np.dtype("<u2" if max(vocabulary, length) <= 1 << 16 else "<u4")
+    fields = [("row", pa.int64()), ("n_tokens", pa.int32()), ("token_ids", pa.binary()), ("segment_ends", pa.list_(pa.int32())), ("positions", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("doc_offsets", pa.list_(pa.int32()))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, held, ids, sequences = TaskContext.get().partitionId() << 33, 0, [], []
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            nonlocal base
+            rows = pack_block(ids, sequences, length, pad_id, kind)
+            for at in range(0, len(rows), 256):
+                some = rows[at : at + 256]
+                yield pa.RecordBatch.from_arrays([pa.array(range(base + at, base + at + len(some)), pa.int64()), *(pa.array(c, t) for c, (_, t) in zip(zip(*some, strict=True), fields[1:], strict=True))], schema=pa.schema(fields))
+            base += len(rows)
+
+        for batch in batches:
+            values, ends = batch.column(1).values.to_numpy(zero_copy_only=False), batch.column(1).offsets.to_numpy()
+            for i, d in enumerate(batch.column(0).to_pylist()):
+                if ends[i + 1] > ends[i]:
+                    ids.append(d)
+                    sequences.append(values[ends[i] : ends[i + 1]].astype(kind))
+                    held += ends[i + 1] - ends[i]
+            if held >= block_tokens:
+                yield from packed()
+                held, ids, sequences = 0, [], []
+        yield from packed()
+
+    schema = "row long, n_tokens int, token_ids binary, segment_ends array<int>, positions binary, doc_ids array<long>, doc_offsets array<int>"
+    return tokens.select(F.col(id_col).cast("long"), F.coalesce(F.col(ids_col), F.array().cast("array<int>"))).mapInArrow(run, schema)
+
+
+def unpacked(binary: bytes, n_tokens: int, vocabulary: int = 1 << 16, length: int = LENGTH) -> np.ndarray:
+    """The ids or positions of a row, without padding."""
+    return np.frombuffer(binary, "<u2" if max(vocabulary, length) <= 1 << 16 else "<u4")[:n_tokens]

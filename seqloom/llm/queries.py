@@ -30,8 +30,7 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = bpe.encode_ids(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
-    return packing.pack(tokens.select("doc_id", "token_ids"))
+    return packing.pack(bpe.encode_ids(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,8 +63,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_html_text, op3_secret_scan, op4_packing, op5_decontaminate, op6_media_columns, op7_jaccard_join, op8_license_scan, op9_suffix_dedup, op10_quality)}
 
 _VALUES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in sorted(licenses.TEMPLATES.items()))
-_SPLIT = r"list_filter(regexp_split_to_array(lower({}), '[^\p{{L}}\p{{N}}]+'), x -> x <> '')"
-_SHINGLES = f"unnest(list_transform(range(1, len(w) - {licenses.WORDS - 2}), i -> array_to_string(w[i:i + {licenses.WORDS - 1}], ' ')))"
+_SPLIT = r"list_filter(regexp_split_to_array(lower({}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
+_SHINGLES = f"unnest(list_transform(range(1, len(w) - {licenses.WORDS - 2}), lambda i: array_to_string(w[i:i + {licenses.WORDS - 1}], ' ')))"
 
 ORACLE_SQL = {
     "op8_license_scan": f"""
