@@ -57,6 +57,12 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+def tidy(spark: SparkSession) -> None:
+    """Lets go of the shuffle files of jobs that have ended; else they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a Parquet table in the shared folder and reads it back: lineage ends here, and a lost executor costs nothing that was done before. The table goes when the application ends."""
     spark = df.sparkSession
@@ -76,8 +82,7 @@ def free(df: DataFrame) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(df.written_at)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    gc.collect()
-    jvm.System.gc()
+    tidy(spark)
 
 
 def components(edges: DataFrame, *, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:

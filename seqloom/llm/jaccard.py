@@ -18,7 +18,9 @@ the class of equal sets; a class with no other ids has the component null. An em
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, components, cut, small_batches
+from .common import arrow_map, components, cut, free, small_batches
 
 SHINGLE = 4
 PERCENT = 85
@@ -56,17 +58,37 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def shingle_hashes(texts: list[str | None], k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, ends): the 64-bit hashes of all texts' shingles with repeats, and where each text's end.
+
+    A-Z are lower-cased and words cut at ASCII white space; a text of fewer than k words has one shingle.
+    """
+    words = [(t or "").encode().lower().split() for t in texts]
+    sizes = np.array([len(w) for w in words], np.int64)
+    w = np.fromiter(map(_words.__getitem__, chain.from_iterable(words)), np.uint64, int(sizes.sum()))
+    if not len(w):
+        return w, np.zeros(len(texts), np.int64)
+    rest = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(w))  # words from here to the text's end
+    total = np.repeat(sizes, sizes)
+    start = (rest >= k) | ((total < k) & (rest == total))
+    h = np.minimum(total, k).astype(np.uint64)
+    for i in range(k):
+        n = len(w) - i
+        if n <= 0:
+            break
+        mixed = _mixed(h[:n] ^ (w[i:] * _MULT[i % len(_MULT)]))
+        h[:n] = mixed if i == 0 else np.where(rest[:n] > i, mixed, h[:n])
+    return h[start], np.cumsum(np.where(sizes >= k, sizes - k + 1, np.minimum(sizes, 1)))
+
+
+def shingle_sets(texts: list[str | None], k: int = SHINGLE) -> list[np.ndarray]:
+    """For each text the sorted distinct hashes of its shingles."""
+    h, ends = shingle_hashes(texts, k)
+    return [np.unique(x) for x in np.split(h, ends[:-1])] if len(texts) else []
+
+
 def shingle_set(text: str | None, k: int = SHINGLE) -> np.ndarray:
-    """The sorted distinct 64-bit hashes of a text's shingles: A-Z lower-cased, words cut at ASCII white space."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    w = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
-    n = max(1, len(w) - k + 1)
-    h = np.full(n, len(words) if len(words) < k else k, np.uint64)
-    for i in range(min(k, len(w))):
-        h = _mixed(h ^ (w[i : i + n] * _MULT[i % len(_MULT)]))
-    return np.unique(h)
+    return shingle_sets([text], k)[0]
 
 
 def _set_id(s: np.ndarray) -> int:
@@ -84,9 +106,8 @@ def sketch(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, np.int64)
         for b in batches:
-            sets = [shingle_set(t, k) for t in b.columns[0].to_pylist()]
-            if sets:
-                total += np.bincount((np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS)
+            h, _ = shingle_hashes(b.columns[0].to_pylist(), k)
+            total += np.bincount((h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS)
         parts = np.minimum(total, 2**31 - 1).astype("<i4").reshape(-1, SKETCH_CHUNK)
         yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["part", "counts"])
 
@@ -118,8 +139,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int
 
     def f(ids, texts):
         cids, sizes, flat, ends = [], [], [np.zeros(0, np.uint64)], [0]
-        for t in texts:
-            s = shingle_set(t, k)
+        for s in shingle_sets(texts, k):
             p = _prefix(s, levels.value, percent) if len(s) else s
             cids.append(_set_id(s))
             sizes.append(len(s))
@@ -131,102 +151,156 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int
 
 
 def _met(tokens: DataFrame, percent: int) -> DataFrame:
-    """For each shingle that two groups or more have in their prefixes: (tok, g, n, leader), one row per group.
+    """For each shingle that two groups or more have in their prefixes: (tok, g, n, pos, leader), one row per group.
 
-    One shuffle by shingle; a shingle's groups pass by in order of size, and of them only leaders are held.
+    One shuffle by shingle; a shingle's groups pass by in order of its place in their prefix, and of them only leaders are
+    held. The earlier the place, the fewer rare shingles of its own a group has: leaders are the middle of a crowd.
     """
     ratio = np.log(100 / percent)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, first, leaders = None, None, {}
         for b in batches:
-            tok, g, n = (c.to_pylist() for c in b.columns)
+            tok, g, n, pos = (c.to_pylist() for c in b.columns)
             size = (np.log(np.array(n, float)) / ratio).astype(np.int64).tolist()
             out: list[tuple] = []
-            for t, x, m, s in zip(tok, g, n, size, strict=True):
+            for t, x, m, at, s in zip(tok, g, n, pos, size, strict=True):
                 if t != last:
-                    last, first, leaders = t, (t, x, m), {s: (x, m)}
+                    last, first, leaders = t, (t, x, m, at), {s: (x, m)}
                     continue
                 if first:
                     out.append((*first, first[1]))
                     first = None
-                lead = leaders.get(s - 1)
-                if lead is None or 100 * lead[1] < percent * m:
-                    lead = leaders.get(s)
-                out.append((t, x, m, lead[0] if lead else x))
+                lead = x
+                for near in (s, s - 1, s + 1):
+                    y = leaders.get(near)
+                    if y and 100 * min(y[1], m) >= percent * max(y[1], m):
+                        lead = y[0]
+                        break
+                out.append((t, x, m, at, lead))
                 if s not in leaders:
                     leaders[s] = (x, m)
             if out:
                 cols = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int64())], names=["tok", "g", "n", "leader"])
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["tok", "g", "n", "pos", "leader"])
+
+    dealt = tokens.repartition(F.col("tok")).sortWithinPartitions("tok", "pos", "g")
+    return dealt.mapInArrow(scan, "tok long, g long, n int, pos int, leader long")
+
+
+def _met_apart(met: DataFrame, spans: DataFrame, percent: int) -> DataFrame:
+    """Pairs (g1, g2) of groups, not yet in one component, that share a shingle where their first common one may be.
 
-    dealt = tokens.repartition(F.col("tok")).sortWithinPartitions("tok", "n", "g")
-    return dealt.mapInArrow(scan, "tok long, g long, n int, leader long")
+    If it is the first, at most what follows its place is common to both; that must be enough. So in the smaller of the two it stands
+    in a short part of the prefix, and it does so at once for all shingles of a crowd that is one component already.
+    """
+    p, q = percent, 100 + percent
+    early = f"pos < n - (2 * {p} * n + {q - 1}) div {q} + 1"
+    marked = cut(met.select("tok", "g", "n", "pos", F.expr(early).alias("early")).join(spans, "g"), "marked")
+    small = F.when(F.col("early"), F.col("n"))
+    of = marked.groupBy("tok").agg(F.min("lo").alias("l"), F.max("hi").alias("h"), F.min(small).alias("a"), F.max(small).alias("b")).where("l <> h and a is not null").select("tok", "a", "b")
+    # A row that isn't early needs an early partner no larger than itself, and no larger than what follows its place allows.
+    left = marked.join(of, "tok").where(f"early or ({p} * n <= 100 * b and least(n, ((n - pos) * {q}) div {p} - n) >= a)")
+    x, y = (left.select("tok", *[F.col(c).alias(f"{c}{i}") for c in ("g", "n", "pos", "lo", "hi", "early")]) for i in (1, 2))
+    enough = f"{p} * (n1 + n2) <= {q} * (n1 - pos1) and {p} * (n1 + n2) <= {q} * (n2 - pos2) and {p} * n2 <= 100 * n1"
+    return x.where("early1").join(y, "tok").where(f"(n1 < n2 or (n1 = n2 and g1 < g2)) and {enough} and not (lo1 = hi1 and lo1 = lo2 and lo2 = hi2)").select("g1", "g2").distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) of classes whose sets are similar enough, by the whole sets."""
+    """Those of the pairs (a, b) of classes whose sets are similar enough, by the whole sets.
+
+    Sets are compared by half of each hash first. What halves share is an upper bound, and over the truth by more than the
+    margin with a chance under 10^-9; pairs within the margin are compared by whole hashes.
+    """
     pairs = cut(pairs, "pairs")
+    if pairs.isEmpty():
+        return pairs.select("a", "b")
+    first = _compared(pairs, docs, reps, id_col, text_col, k, percent, False)
+    near = cut(first.where("sure = 0").select("a", "b").distinct(), "near")
+    sure = first.where("sure = 1").select("a", "b")
+    if near.isEmpty():
+        return sure
+    return sure.union(_compared(near, docs, reps, id_col, text_col, k, percent, True).select("a", "b"))
+
+
+def _compared(pairs: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, k: int, percent: int, whole: bool) -> DataFrame:
+    """(a, b, sure) of the pairs that are similar enough: sure is 1, or 0 if halves of hashes can't tell."""
     ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(reps.select("cid", "rep"), "cid"), "wanted")
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     texts = docs.select(F.col(id_col).alias("rep"), F.col(text_col).cast("string").alias("text")).join(ids, "rep")
+    kind = np.dtype("<u8" if whole else "<u4")
 
     def sets(cids, texts):
-        made = [shingle_set(t, k) for t in texts]
-        return cids, [s.tobytes() for s in made], [_set_id(s) == c for c, s in zip(cids, made, strict=True)]
+        made = shingle_sets(texts, k)
+        return cids, [(s if whole else s >> np.uint64(32)).astype(kind).tobytes() for s in made], [_set_id(s) == c for c, s in zip(cids, made, strict=True)]
 
-    # An id may stand for several texts: only the class's own counts.
-    held = arrow_map(texts.select("cid", "text"), sets, "cid long, s binary, own boolean").where("own").groupBy("cid").agg(F.first("s").alias("s"))
-    held = cut(held, "sets")
+    # An id may stand for several texts: only the class's own counts. Repeated rows repeat a pair, which changes nothing.
+    held = cut(arrow_map(texts.select("cid", "text"), sets, "cid long, s binary, own boolean").where("own").select("cid", "s"), "sets")
     both = pairs.join(held.select(F.col("cid").alias("a"), F.col("s").alias("sa")), "a").join(held.select(F.col("cid").alias("b"), F.col("s").alias("sb")), "b")
 
     def test(a, b, sa, sb):
-        keep = []
+        keep, sure = [], []
         for i, (x, y) in enumerate(zip(sa, sb, strict=True)):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            merged = np.concatenate((x, y))
-            merged.sort()
+            merged = np.frombuffer(x + y, kind)
+            n = len(merged)
+            merged = np.sort(merged)
             shared = int((merged[1:] == merged[:-1]).sum())
-            if 100 * shared >= percent * (len(x) + len(y) - shared):
+            if 100 * shared >= percent * (n - shared):
+                low = shared if whole else shared - 4 - math.ceil(20 * n * n / 2**33)
                 keep.append(i)
-        return [a[i] for i in keep], [b[i] for i in keep]
+                sure.append(int(100 * low >= percent * (n - low)))
+        return [a[i] for i in keep], [b[i] for i in keep], sure
+
+    out = cut(arrow_map(both.select("a", "b", "sa", "sb"), test, "a long, b long, sure int"), "similar")
+    free(held)
+    return out
 
-    return arrow_map(both.select("a", "b", "sa", "sb"), test, "a long, b long")
+
+def _may_link(n1: str, n2: str, shared: str, percent: int) -> str:
+    """Whether sets of these sizes with so many common shingles in their prefixes can be similar enough.
+
+    What they have in common up to the end of the prefix that ends first lies in both prefixes; beyond it there is at
+    most what that set has behind its prefix.
+    """
+    rest = lambda n: f"(({percent} * {n} + 99) div 100 - 1)"
+    return f"{shared} + greatest({rest(n1)}, {rest(n2)}) >= ({percent} * ({n1} + {n2}) + {99 + percent}) div {100 + percent}"
 
 
 def similar_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Rows (id, n_shingles, cid, component_id): one for each row of docs."""
-    sigs = cut(signatures(docs, id_col, text_col, shingle, percent), "signatures")
-    classes = cut(sigs.where("n > 0").groupBy("cid").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix")).where("rep is not null"), "classes")
-    keyed = classes.select("cid", "rep", "n", "prefix", F.xxhash64("n", "prefix").alias("ph"))
-    groups = keyed.groupBy("ph").agg(F.min("cid").alias("g"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.count(F.lit(1)).alias("members"))
-    groups = cut(groups, "groups")
-    members = cut(keyed.select("cid", "ph").join(groups.select("ph", "g", "members").where("members > 1"), "ph").select("cid", "g"), "members")
-    met = cut(_met(groups.select(F.explode("prefix").alias("tok"), "g", "n"), percent), "met")
+    made = cut(signatures(docs, id_col, text_col, shingle, percent), "signatures")
+    classes = cut(made.where("n > 0").groupBy("cid").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix")).where("rep is not null"), "classes")
+    sigs = cut(made.select("id", "n", "cid"), "rows")
+    free(made)
+    # A group is known by its smallest class, its leader; only groups of several classes are written.
+    keyed = classes.select("cid", F.xxhash64("n", "prefix").alias("ph"))
+    several = keyed.groupBy("ph").agg(F.min("cid").alias("g"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    members = cut(keyed.join(several, "ph").select("cid", "g"), "members")
+    groups = classes.join(members.where("cid <> g").select("cid"), "cid", "left_anti").select(F.col("cid").alias("g"), "n", "prefix")
+    met = cut(_met(groups.select(F.posexplode("prefix").alias("pos", "tok"), "g", "n").select("tok", "g", "n", "pos"), percent), "met")
     # First round: each group and the leader it shares most shingles with; each member and its group.
     star = met.where("leader <> g").groupBy("g", "leader").agg(F.count(F.lit(1)).alias("c")).groupBy("g").agg(F.max(F.struct("c", "leader")).alias("best"))
     pairs = star.select(F.col("best.leader").alias("a"), F.col("g").alias("b")).union(members.where("cid <> g").select(F.col("g").alias("a"), F.col("cid").alias("b")))
+    ends = [classes.select(F.col("cid").alias(c), F.col("n").alias(f"n{c}"), F.col("prefix").alias(f"p{c}")) for c in "ab"]
+    pairs = pairs.join(ends[0], "a").join(ends[1], "b").where(_may_link("na", "nb", "size(array_intersect(pa, pb))", percent)).select("a", "b")
     links = cut(verified(pairs, docs, classes, id_col, text_col, shingle, percent), "links")
     comp = components(links)
     # Second round: what the first left in different components.
     own = members.join(comp, members.cid == comp.node, "left").select("g", "cid", F.coalesce("comp", "cid").alias("comp"))
-    lone = groups.where("members = 1").select("g", F.col("g").alias("cid")).join(comp, F.col("g") == comp.node, "left").select("g", "cid", F.coalesce("comp", "cid").alias("comp"))
+    lone = classes.select("cid").join(members.select("cid"), "cid", "left_anti").select(F.col("cid").alias("g"), "cid").join(comp, F.col("g") == comp.node, "left").select("g", "cid", F.coalesce("comp", "cid").alias("comp"))
     own = cut(own.union(lone), "own")
     spans = own.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    marked = cut(met.select("tok", "g", "n").join(spans, "g"), "marked")
-    mixed = marked.groupBy("tok").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).where("l <> h").select("tok")
-    left = marked.join(mixed, "tok")
-    x, y = (left.select("tok", *[F.col(c).alias(f"{c}{i}") for c in ("g", "n", "lo", "hi")]) for i in (1, 2))
-    met2 = x.join(y, "tok").where("g1 < g2 and not (lo1 = hi1 and lo1 = lo2 and lo2 = hi2)").where(F.expr(f"100 * least(n1, n2) >= {percent} * greatest(n1, n2)")).select("g1", "g2").distinct()
+    met2 = _met_apart(met, spans, percent)
+    ends = [groups.select(F.col("g").alias(f"g{i}"), F.col("n").alias(f"n{i}"), F.col("prefix").alias(f"p{i}")) for i in (1, 2)]
+    met2 = met2.join(ends[0], "g1").join(ends[1], "g2").where(_may_link("n1", "n2", "size(array_intersect(p1, p2))", percent)).select("g1", "g2")
     met2 = met2.union(spans.where("lo <> hi").select(F.col("g").alias("g1"), F.col("g").alias("g2")))
     m1, m2 = own.toDF("g1", "a", "c1"), own.toDF("g2", "b", "c2")
     rest = met2.join(m1, "g1").join(m2, "g2").where("c1 <> c2").where("g1 <> g2 or a < b").select("a", "b").distinct()
-    rest = cut(rest, "rest")
-    if not rest.isEmpty():
-        more = cut(verified(rest, docs, classes, id_col, text_col, shingle, percent), "links")
-        if not more.isEmpty():
-            comp = components(links.union(more))
+    more = cut(verified(rest, docs, classes, id_col, text_col, shingle, percent), "links")
+    if not more.isEmpty():
+        comp = components(links.union(more))
     named = classes.select("cid", "rep").join(comp, classes.cid == comp.node, "left").select("cid", "rep", F.coalesce("comp", "cid").alias("comp"))
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     # Classes by themselves need no partner in this join; those of a very large component share its key, which adaptive execution splits.

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, free, small_batches
+from .common import arrow_map, cut, free, small_batches, tidy
 
 LENGTH = 100
 GRAM = 48
@@ -226,6 +226,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         doc, key, around, start, count = (np.concatenate(c) for c in zip(*made, strict=True))
         return pa.array(key), pa.array(around), pa.array(np.array(reps, np.int64)[doc]), pa.array(start), pa.array(count.astype(np.int16))
 
+    tidy(spark)
     suffixes = cut(arrow_map(texts.select("rep", "t"), find, "key long, around long, rep long, start long, count short"), "suffixes")
     n = max(1, -(-suffixes.count() // BUCKET))
     parts = max(n, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -244,6 +245,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         return [pa.array(np.concatenate(c)) if c else [] for c in cols]
 
     single = cut(arrow_map(texts.select("rep", "t").join(again, "rep"), strings, "h long, rep long, start long"), "strings")
+    tidy(spark)
     parts = max(1, -(-single.count() // BUCKET), int(spark.conf.get("spark.sql.shuffle.partitions")))
     compared = cut(_bucketed(single, ["h", "rep", "start"], parts, _compare_strings, "kind int, h long, rep long, start long"), "compared")
     free(single)
