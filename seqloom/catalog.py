@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
-FLAGSHIP = ""
+from .plans import more_bindings  # noqa: F401  registers its queries
+from .plans.bindings import ORACLE_SQL, QUERIES
+
+FLAGSHIP = "exn50"
+
+__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]
