@@ -113,7 +113,8 @@ def align_paths(paths: dict[str, list]) -> list[dict]:
         except ValueError:
             pass
     left = sorted(paths, key=lambda t: (-len(paths[t]), t))
-    columns = [{left[0]: n} for n in paths[left.pop(0)]]
+    first = left.pop(0)
+    columns = [{first: n} for n in paths[first]]
     while left:
         have = {n for c in columns for n in c.values()}
         t = max(left, key=lambda x: (len(have & set(paths[x])), -left.index(x)))

@@ -319,10 +319,11 @@ def _nb_exact(sa: int, sb: int, na: int, nb: int, dispersion: float) -> float:
     return float(min(1.0, w[logs <= logs[sa] + 1e-9].sum() / w.sum()))
 
 
-def voom_test(counts: DataFrame, groups: DataFrame, a: str, b: str, method: str = "bh") -> DataFrame:
+def voom_test(counts: DataFrame, groups: DataFrame, a: str, b: str, method: str = "bh", factors: DataFrame | None = None) -> DataFrame:
     """(feature, log_fc, p, adjusted): log counts per million compared by a t test whose variances are moderated towards their mean over the features."""
     importable(counts.sparkSession)
-    lib = counts.groupBy("sample").agg(F.sum("value").alias("lib"))
+    factors = tmm_factors(counts) if factors is None else factors
+    lib = factors.select("sample", (F.col("lib_size") * F.col("norm_factor")).alias("lib"))
     y = F.log2((F.col("value") + 0.5) / (F.col("lib") + 1) * 1e6)
     x = counts.join(F.broadcast(lib), "sample").join(F.broadcast(groups.where(F.col("grp").isin(a, b))), "sample").select("feature", "grp", y.alias("y"))
     g = x.groupBy("feature").agg(*[f(F.when(F.col("grp") == v, F.col("y"))).alias(f"{n}{k}") for k, v in (("a", a), ("b", b)) for n, f in (("n", F.count), ("m", F.avg), ("v", F.var_samp))])

@@ -254,7 +254,7 @@ def mutated(seqs: DataFrame, rate: float = 0.01, seed: int = 0) -> DataFrame:
     ranked = F.array_sort(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.struct(F.xxhash64("accession", i, F.lit(seed)).alias("h"), i.alias("i"))))
     at = F.slice(ranked, 1, F.greatest(many, F.lit(0))).getField("i")
     base = lambda i: F.substring("sequence", i, F.lit(1))
-    other = lambda i: F.substring(F.translate(F.lit("ACGT"), base(i), ""), F.pmod(F.xxhash64("accession", i, F.lit(seed + 1)), F.lit(3)).cast("int") + 1, F.lit(1))
+    other = lambda i: F.substring(F.replace(F.lit("ACGT"), base(i), F.lit("")), F.pmod(F.xxhash64("accession", i, F.lit(seed + 1)), F.lit(3)).cast("int") + 1, F.lit(1))
     letters = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.when(F.array_contains(F.col("_at"), i), other(i)).otherwise(base(i)))
     return seqs.withColumn("_at", at).withColumn("sequence", F.when(n > 0, F.array_join(letters, "")).otherwise("")).drop("_at")
 

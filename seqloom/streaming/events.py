@@ -67,7 +67,7 @@ def run_to_end(stream: DataFrame, mode: str = "append") -> DataFrame:
             batch.withColumn("_i", F.lit(i)).write.mode("append").parquet(path)
 
         stream.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", at).trigger(availableNow=True).start().awaitTermination()
-        rows = spark.read.schema(stream.schema.add("_i", "int")).parquet(path)
+        rows = spark.read.parquet(path)
         last = rows.agg(F.max("_i").alias("_m"))
         return rows.join(F.broadcast(last), F.col("_i") == F.col("_m")).drop("_i", "_m").dropDuplicates(keys)
     stream.writeStream.outputMode(mode).format("parquet").option("path", path).option("checkpointLocation", at).trigger(availableNow=True).start().awaitTermination()
