@@ -450,7 +450,7 @@ def time_matrix(s: SparkSession, d: str) -> DataFrame:
     return m.select(F.unix_timestamp("time").alias("minute"), F.col("click").isNull().alias("no_click"), "n")
 
 
-@query("SELECT user_id, epoch(min(ts))::BIGINT AS first, count(*) AS n FROM (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS g FROM (SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL '30 minutes' THEN 0 ELSE 1 END AS new FROM events)) GROUP BY user_id, g")
+@query("SELECT user_id, CAST(floor(epoch(min(ts))) AS BIGINT) AS first, count(*) AS n FROM (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS g FROM (SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL '30 minutes' THEN 0 ELSE 1 END AS new FROM events)) GROUP BY user_id, g")
 def stream_session(s: SparkSession, d: str) -> DataFrame:
     """Sessions of users' events, from a stream of the table run to its end."""
     x = streams.run_to_end(streams.sessions(streams.read_stream(s, f"{d}/events.parquet"), "user_id", "30 minutes", late=ANY_LATE), "append_rest")

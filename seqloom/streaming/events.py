@@ -29,13 +29,13 @@ def _is_folder(spark: SparkSession, path: str) -> bool:
 
 def sessions(events: DataFrame, key: str, gap: str, time: str = "ts", late: str = "10 minutes") -> DataFrame:
     """(key, first, last, n) of a key's events less than a gap apart."""
-    w = events.withWatermark(time, late).groupBy(F.session_window(time, gap).alias("w"), key).agg(F.count(F.lit(1)).alias("n"))
+    w = events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late).groupBy(F.session_window(time, gap).alias("w"), key).agg(F.count(F.lit(1)).alias("n"))
     return w.select(key, F.col("w.start").alias("first"), F.col("w.end").alias("last"), "n")
 
 
 def windows(events: DataFrame, key: str, width: str, slide: str | None = None, time: str = "ts", value: str = "value", late: str = "10 minutes") -> DataFrame:
     """(key, start, n, total) per tumbling or sliding window."""
-    w = events.withWatermark(time, late).groupBy(F.window(time, width, slide).alias("w"), key).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
+    w = events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late).groupBy(F.window(time, width, slide).alias("w"), key).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
     return w.select(key, F.col("w.start").alias("start"), "n", "total")
 
 
