@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from .common import arrow_map
 
 LEAF = 4096
-CACHE_CHUNKS = 500_000
+#: Entries of a worker's cache, about 200 bytes each; workers live on from stage to stage with what they hold.
+CACHE_CHUNKS = 200_000
 CACHE_CHUNK_CHARS = 64
 _CHUNK = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 #: Texts of these characters alone are their own NFC form, and their pre-tokens need no table of Unicode classes.

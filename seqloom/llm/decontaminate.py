@@ -28,6 +28,8 @@ LEAST_WORDS = 3
 SHARE = 0.8
 PASSAGE = 25
 MAX_WINDOWS = 500_000
+#: Distinct words that a worker remembers; workers live on from stage to stage with what they hold.
+WORDS = 200_000
 COLUMNS = "item_id long, n_matched int, n_windows int, coverage double, n_slots int, slot_agreement double"
 
 # Units of measure that may stand behind a number.
@@ -43,7 +45,7 @@ class _Words(dict):
     """word -> (hash, flags), made once for each distinct word."""
 
     def __missing__(self, word: str) -> tuple[int, int]:
-        if len(self) > 500_000:
+        if len(self) > WORDS:
             self.clear()
         core = _CORE.sub("", word)
         flags = _ENDS if re.search(r"[.!?:]\W*$", word) else 0

@@ -34,6 +34,8 @@ SHINGLE = 4
 PERCENT = 85
 SKETCH_BITS = 18
 SKETCH_CHUNK = 4096
+#: Distinct words that a worker remembers; workers live on from stage to stage with what they hold.
+WORDS = 200_000
 #: Up to this many classes to be verified are sent to every executor (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 400_000
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -41,7 +43,7 @@ _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x
 
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > WORDS:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h

@@ -206,8 +206,8 @@ def judge(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     host = F.col("source") if host is None else host
     path = F.concat_ws("/", host, F.col("lang")) if path is None else path
     named = docs.select(*(carry if carry is not None else docs.columns), host.cast("string").alias("_host"), path.cast("string").alias("_path"), evidence_column(model, F.col(text_col)).alias("_evidence"))
-    if carry is not None and text_col not in carry:
-        named = cut(named, "scores")  # small: no text
+    # Written once: each later use of a row would score it again.
+    named = cut(named, "scores")
     sites = site_posteriors(named.select(F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_evidence").alias("evidence")))
     sites = cut(sites.toDF("_h", "_p", "_s"), "posteriors")
     if sites.count() <= BROADCAST_SITES:
