@@ -2,7 +2,7 @@
 
 Equal texts first collapse into one, that of the smallest id. Of the others, every string of ``length`` bytes picks one
 anchor by its content alone: the leftmost smallest hash of the ``gram``-byte strings in it. Equal strings have equal
-anchors at equal places, so only suffixes at anchors are sorted: about one in 27 bytes. A suffix's key starts with its
+anchors at equal places, so only suffixes at anchors are sorted: about one in 30 bytes. A suffix's key starts with its
 leading bytes; sampled splitters range-partition the suffixes by it, buckets are sorted locally by multikey quicksort
 (by the leading bytes, then runs of equals by what follows, each compared by hash), and neighbours are compared.
 Suffixes whose whole surroundings (all strings of that anchor) are equal are repeats but for the first. Where
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import arrow_map, cut, free, small_batches, tidy
 
 LENGTH = 100
-GRAM = 48
+GRAM = 40
 #: Bytes hashed at a time; texts longer than that are taken in pieces that overlap by a string.
 BLOCK = 1 << 20
 #: Suffixes of a bucket: it is sorted in one task's memory (about 60 bytes each).
