@@ -68,13 +68,14 @@ def translated(seq: Column, frame: int, code: str = "Universal") -> Column:
     start = (frame - 1) % 3 + 1
     table = "".join(aa for _, aa in sorted(genetic_code(code).items()))
 
-    def protein(st: Column) -> Column:
-        def amino(i: Column) -> Column:
-            a, b, c = (F.instr(F.lit(BASES), F.substring(st, i + k, F.lit(1))) - 1 for k in range(3))
-            return F.when((a >= 0) & (b >= 0) & (c >= 0), F.substring(F.lit(table), a * 16 + b * 4 + c + 1, F.lit(1))).otherwise("X")
+    def amino(codon: Column) -> Column:
+        a, b, c = (F.instr(F.lit(BASES), F.substring(codon, k, 1)) - 1 for k in (1, 2, 3))
+        return F.when((a >= 0) & (b >= 0) & (c >= 0), F.substring(F.lit(table), a * 16 + b * 4 + c + 1, F.lit(1))).otherwise("X")
 
-        codons = F.transform(F.sequence(F.lit(start), F.length(st) - 2, F.lit(3)), amino)
-        return F.when(F.length(st) >= start + 2, F.array_join(codons, "")).otherwise(F.lit(""))
+    def protein(st: Column) -> Column:
+        # One pass cuts all codons; taking them by position would start from the front for each.
+        codons = F.regexp_extract_all(F.substring(st, F.lit(start), F.length(st)), F.lit("(?s)(...)"), F.lit(1))
+        return F.array_join(F.transform(codons, amino), "")
 
     # A one-element array binds the strand to a name: it is made once, and not for each codon.
     return F.element_at(F.transform(F.array(strand), protein), 1)
