@@ -65,38 +65,62 @@ def link_strength(edges: DataFrame, least: float = 0.0) -> DataFrame:
     return x.select("a", "b", "common", strength.alias("strength")).where(F.col("strength") >= least)
 
 
-def capped_clusters(edges: DataFrame, most: int = 25) -> DataFrame:
+def capped_clusters(edges: DataFrame, most: int = 25, last: int = 100_000) -> DataFrame:
     """Single linkage in order of falling weight that never makes a cluster of over ``most`` members. edges: (a, b, weight).
 
-    Clusters are independent between connected groups, which are the unit of work.
+    A pair that comes first among the pairs of both its clusters depends on no other, so each round joins all such pairs,
+    whatever the size of the connected group. Pairs whose clusters have outgrown ``most`` together never fit again and go
+    at once. The last ``last`` pairs are joined one by one in a single task. Pairs without an end are left out.
     """
     importable(edges.sparkSession)
-    comp = components(edges)
-    grouped = edges.join(comp.select(F.col("node").alias("a"), "component"), "a").select("component", "a", "b", "weight")
+    pairs = edges.select("a", "b", "weight").dropna(subset=["a", "b"])
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     kind = edges.schema["a"].dataType.simpleString()
 
-    def run(group):
+    def fitting(df):
+        """One row (u, v, rank, su, sv) for each pair of clusters that still fit together, at its first rank."""
+        turned = F.col("u") > F.col("v")
+        ends = [F.when(turned, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("u", "v"), ("v", "u"), ("su", "sv"), ("sv", "su"))]
+        kept = df.where((F.col("u") != F.col("v")) & (F.col("su") + F.col("sv") <= most)).select("rank", *ends)
+        return cut_lineage(kept.groupBy("u", "v").agg(F.min("rank").alias("rank"), F.first("su").alias("su"), F.first("sv").alias("sv")))
+
+    def one_by_one(batches):
         import pandas as pd
 
-        parent: dict = {}
-        size: dict = {}
+        parent, size, out = {}, {}, []
 
         def root(x):
-            parent.setdefault(x, x)
-            size.setdefault(x, 1)
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
+            while parent.get(x, x) != x:
                 x = parent[x]
             return x
 
-        for r in group.sort_values(["weight", "a", "b"], ascending=[False, True, True]).itertuples():
-            x, y = sorted((root(r.a), root(r.b)))
+        for r in pd.concat([pd.DataFrame(columns=["u", "v", "rank", "su", "sv"]), *batches]).sort_values("rank").itertuples():
+            size.setdefault(r.u, r.su)
+            size.setdefault(r.v, r.sv)
+            x, y = sorted((root(r.u), root(r.v)))
             if x != y and size[x] + size[y] <= most:
                 parent[y] = x
                 size[x] += size[y]
-        return pd.DataFrame([(n, root(n)) for n in sorted(parent)], columns=["node", "cluster"])
-
-    return grouped.groupBy("component").applyInPandas(run, f"node {kind}, cluster {kind}")
+                out.append((y, x))
+        yield pd.DataFrame(out, columns=["old", "new"])
+
+    one = F.lit(1).cast("long")
+    left = fitting(numbered(pairs, F.desc("weight"), "a", "b").select(F.col("a").alias("u"), F.col("b").alias("v"), F.col("index").alias("rank"), one.alias("su"), one.alias("sv")))
+    joined = []
+    while left.count() > last:
+        first = left.select("u", "rank").union(left.select("v", "rank")).groupBy("u").agg(F.min("rank").alias("rank"))
+        free = first.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).where("n = 2").select("rank")
+        both = F.array(*(F.struct(F.col(x).alias("old"), F.col("u").alias("new"), (F.col("su") + F.col("sv")).alias("size")) for x in "uv"))
+        moved = cut_lineage(left.join(free, "rank").select(F.inline(both)))
+        joined.append(moved.where("old <> new").select("old", "new"))
+        for x in "uv":
+            left = left.join(moved.select(F.col("old").alias(x), "new", "size"), x, "left").withColumns({x: F.coalesce("new", x), f"s{x}": F.coalesce("size", f"s{x}")}).drop("new", "size")
+        left = fitting(left)
+    tied = left.coalesce(1).mapInPandas(one_by_one, f"old {kind}, new {kind}")
+    for moves in joined:
+        tied = tied.union(moves)
+    named = components(tied, "old", "new").withColumnRenamed("component", "cluster")
+    return nodes.join(named, "node", "left").select("node", F.coalesce("cluster", "node").alias("cluster"))
 
 
 def missing_reverse(edges: DataFrame) -> DataFrame:
