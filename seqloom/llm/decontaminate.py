@@ -7,7 +7,10 @@ looked up in the hash table of the benchmark's windows, in blocks of at most ``m
 text that has 0.8 or more of the item's distinct windows, or ``passage`` windows in a row of it (a passage of an item),
 if its slots are consistent: each value in the item goes with one value in the text, in 0.8 or more of the aligned slots.
 
-Null and empty texts and items, and those of fewer than five tokens, have no windows and match nothing. Repeated
+An item without a window (of fewer than five tokens, or of little but slots) is found by its wording: hashes of its
+first tokens, five at most, find places in a text, where all its words, numbers and signs must follow, whatever the case
+and the punctuation. The result counts such an item as one window. Null and empty texts and items, and items of one or two
+tokens, match nothing. Repeated
 rows are matched each for itself. An empty table gives no rows. The result's order of rows is not defined.
 """
 
@@ -15,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from itertools import islice
 
 import numpy as np
 import xxhash
@@ -25,6 +29,8 @@ from .common import arrow_map, small_batches
 
 WINDOW = 5
 LEAST_WORDS = 3
+#: Tokens of an item found by its wording; fewer say too little.
+LEAST_TOKENS = 3
 SHARE = 0.8
 PASSAGE = 25
 MAX_WINDOWS = 500_000
@@ -35,6 +41,7 @@ COLUMNS = "item_id long, n_matched int, n_windows int, coverage double, n_slots
 # Units of measure that may stand behind a number.
 UNITS = frozenset("mm cm m km in ft mi mile miles inch inches foot feet yard yards meter meters metre metres kilometer kilometers kilometre kilometres mg g kg gram grams kilogram kilograms ton tons tonne tonnes lb lbs pound pounds oz ounce ounces ml cl l liter liters litre litres gallon gallons cup cups s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks month months year years dollar dollars cent cents euro euros usd eur gbp percent degree degrees mph kmh kph w kw kwh watt watts volt volts hz khz mhz ghz kb mb gb tb".split())
 NUM, UNIT, NAME = (xxhash.xxh64_intdigest(x) for x in ("<num>", "<unit>", "<name>"))
+_PUNCTUATION = ".,;:!?\"'`()[]{}…“”‘’«»"
 _CORE = re.compile(r"^\W+|\W+$")
 _NUMBER = re.compile(r"\d[\d.,:/]*(?:%|st|nd|rd|th)?$")
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -64,30 +71,44 @@ class _Words(dict):
 _words = _Words()
 
 
-def templates(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, window hash, position of its first word, index of its first token) of all windows, and token kinds are in the last two of tokens()."""
-    doc, token, slot, at = tokens(texts)
-    n = len(token) - WINDOW + 1
-    if n <= 0:
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.int64),) * 2
+def _runs(token: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of each k tokens in a row."""
+    n = max(0, len(token) - k + 1)
     h = np.zeros(n, np.uint64)
+    for i in range(k):
+        h = (h ^ (token[i : i + n] * _MULT[i])) * _MULT[(i + 1) % WINDOW]
+        h ^= h >> np.uint64(29)
+    return h.view(np.int64)
+
+
+def _same(doc: np.ndarray, k: int) -> np.ndarray:
+    """Whether each k tokens in a row are of one text."""
+    n = max(0, len(doc) - k + 1)
+    return doc[:n] == doc[k - 1 : k - 1 + n]
+
+
+def templates(doc: np.ndarray, token: np.ndarray, slot: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, window hash, position of its first word) of all windows of tokens()."""
+    h = _runs(token, WINDOW)
+    n = len(h)
     plain = np.zeros(n, np.int8)
     for k in range(WINDOW):
-        part = token[k : k + n]
-        h = (h ^ (part * _MULT[k])) * _MULT[(k + 1) % WINDOW]
-        h ^= h >> np.uint64(29)
         plain += slot[k : k + n] == 0
-    ok = (doc[:n] == doc[WINDOW - 1 :]) & (plain >= LEAST_WORDS)
-    return doc[:n][ok], h.view(np.int64)[ok], at[:n][ok], np.flatnonzero(ok)
+    ok = _same(doc, WINDOW) & (plain >= LEAST_WORDS)
+    return doc[:n][ok], h[ok], at[:n][ok]
+
 
+def _exact(word: str) -> str:
+    return word.lower().strip(_PUNCTUATION)
 
-def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, hash, 0 for a plain word or the kind of slot, number of the word in its text) of all tokens."""
+
+def tokens(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """(text number, hash, 0 for a plain word or the kind of slot, number of the word in its text, hash if units and names were plain words) of all tokens."""
     split = [t.split() for t in texts]
     sizes = np.array([len(s) for s in split], np.int64)
     flat = [_words[w] for s in split for w in s]
     if not flat:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     token = np.fromiter((x[0] for x in flat), np.uint64, len(flat))
     flags = np.fromiter((x[1] for x in flat), np.int8, len(flat))
     doc = np.repeat(np.arange(len(texts)), sizes)
@@ -104,18 +125,20 @@ def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     behind[1:] = number[:-1] & (doc[1:] == doc[:-1])
     unit = ((flags & _IS_UNIT) > 0) & behind
     name = ((flags & _IS_NAME) > 0) & ~ended
+    word = token
     token = np.where(unit, np.uint64(UNIT), np.where(name, np.uint64(NAME), token))
     slot = np.where(number, 1, np.where(unit, 2, np.where(name, 3, 0))).astype(np.int8)
-    return doc, token, slot, at
+    return doc, token, slot, at, word
 
 
 class Index:
-    """The distinct windows of some items."""
+    """The distinct windows of some items, and the wording of items without windows."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.ids = [i for i, _ in items]
         self.words = [t.split() for _, t in items]
-        doc, h, at, _ = templates([t for _, t in items])
+        owner, token, slot, place, word = tokens([t for _, t in items])
+        doc, h, at = templates(owner, token, slot, place)
         where: dict[int, list[tuple[int, int]]] = defaultdict(list)
         seen = set()
         for d, x, a in zip(doc.tolist(), h.tolist(), at.tolist(), strict=True):
@@ -125,10 +148,41 @@ class Index:
         self.total = Counter(d for d, _ in seen)
         self.where = dict(where)
         self.keys = np.array(sorted(where), np.int64)
+        #: item -> its words, its numbers; number of tokens hashed -> hash -> items
+        self.wording: dict[int, tuple[list[str], int]] = {}
+        self.starts: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
+        for d in sorted(set(owner.tolist()) - set(self.total)):
+            of = np.flatnonzero(owner == d)
+            if len(of) < LEAST_TOKENS:
+                continue
+            words = [x for w in self.words[d][place[of[0]] : place[of[-1]] + 1] if (x := _exact(w))]
+            self.wording[d] = words, int((slot[of] == 1).sum())
+            k = min(len(of), WINDOW)
+            self.starts[k][int(_runs(word[of[:k]], k)[0])].append(d)
+        self.starts = {k: dict(x) for k, x in self.starts.items()}
 
     def find(self, texts: list[str]) -> list[tuple]:
         """(text number, item, matched, windows, coverage, slots, agreement) of each item found in each text."""
-        doc, h, at, _ = templates(texts)
+        doc, token, slot, at, word = tokens(texts)
+        return self._by_windows(texts, *templates(doc, token, slot, at)) + self._by_wording(texts, doc, at, word)
+
+    def _by_wording(self, texts: list[str], doc: np.ndarray, at: np.ndarray, word: np.ndarray) -> list[tuple]:
+        out, last, words = {}, -1, []
+        for k, items in self.starts.items():
+            h = _runs(word, k)
+            for p in np.flatnonzero(np.isin(h, np.fromiter(items, np.int64, len(items))) & _same(doc, k)).tolist():
+                d = int(doc[p])
+                for item in items[int(h[p])]:
+                    want, numbers = self.wording[item]
+                    if (d, item) in out:
+                        continue
+                    if d != last:
+                        last, words = d, texts[d].split()
+                    if list(islice(filter(None, map(_exact, islice(words, int(at[p]), None))), len(want))) == want:
+                        out[d, item] = (d, self.ids[item], 1, 1, 1.0, numbers, 1.0)
+        return list(out.values())
+
+    def _by_windows(self, texts: list[str], doc: np.ndarray, h: np.ndarray, at: np.ndarray) -> list[tuple]:
         if not len(self.keys) or not len(h):
             return []
         place = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)

@@ -175,6 +175,16 @@ def test_slots_that_disagree_are_no_match():
     assert not index.find([item.replace("5", "8", 1).replace(" 5 d", " 2 d").replace(" 5 s", " 9 s")])
 
 
+def test_items_without_windows_are_found_by_their_wording():
+    items = ["What is 48 + 57 - 13 * 2 / 5 ?", "Compute 12 * 7 + 5 * 3 - 8 / 2 .", "Who wrote Don Quixote?", "Capital of France?", "?", ""]
+    index = decontaminate.Index(list(enumerate(items)))
+    rng = random.Random(23)
+    found = lambda text: [x[1] for x in index.find([prose(rng, 20), text])]
+    for i, t in enumerate(items[:4]):
+        assert found(prose(rng, 20) + ". " + t + " " + prose(rng, 20)) == [i] and found(t.upper()) == [i]
+    assert not found("what is 48 - 57 + 13 * 2 / 5 ?") and not found("Compute 12 * 7 + 5 * 3 - 8 / 3 .") and not found("who wrote don juan") and not found("? ?")
+
+
 # Quality
 def labelled(n=400, seed=31):
     rng = random.Random(seed)
