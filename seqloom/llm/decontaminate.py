@@ -3,8 +3,9 @@
 Words lose punctuation and case; numbers, units behind a number, and names (capitalised words inside a sentence) become
 typed placeholders, so that a question asked with other numbers or names has the same template. Each five tokens in a
 row are a window; windows with fewer than three plain words say too little and are left out. A text's windows are
-looked up in the hash table of the benchmark's windows, in blocks of at most ``max_windows`` of them. An item is found in a
-text that has 0.8 or more of the item's distinct windows, or ``passage`` windows in a row of it (a passage of an item),
+looked up in the hash table of the benchmark's windows, in blocks of at most ``max_windows`` of them. Names are known by
+their capitals only, so items and texts have a second set of windows, in which names are plain words, for copies in
+another case; either set may match. An item is found in a text that has 0.8 or more of the item's distinct windows, or ``passage`` windows in a row of it (a passage of an item),
 if its slots are consistent: each value in the item goes with one value in the text, in 0.8 or more of the aligned slots.
 
 An item without a window (of fewer than five tokens, or of little but slots) is found by its wording: hashes of its
@@ -87,15 +88,20 @@ def _same(doc: np.ndarray, k: int) -> np.ndarray:
     return doc[:n] == doc[k - 1 : k - 1 + n]
 
 
-def templates(doc: np.ndarray, token: np.ndarray, slot: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, window hash, position of its first word) of all windows of tokens()."""
-    h = _runs(token, WINDOW)
-    n = len(h)
-    plain = np.zeros(n, np.int8)
+def templates(doc: np.ndarray, token: np.ndarray, slot: np.ndarray, at: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text number, window hash, position of its first word, in which set: 1 with placeholders of names, 2 with names as plain words, 3 in both) of all windows of tokens()."""
+    h, same, n = _runs(token, WINDOW), _same(doc, WINDOW), max(0, len(doc) - WINDOW + 1)
+    plain, names = np.zeros(n, np.int8), np.zeros(n, np.int8)
     for k in range(WINDOW):
         plain += slot[k : k + n] == 0
-    ok = _same(doc, WINDOW) & (plain >= LEAST_WORDS)
-    return doc[:n][ok], h[ok], at[:n][ok]
+        names += slot[k : k + n] == 3
+    first = np.flatnonzero(same & (plain >= LEAST_WORDS))
+    named = np.flatnonzero(same & (names > 0) & (plain + names >= LEAST_WORDS))
+    lower = _runs(np.where(slot == 3, word, token), WINDOW)[named] if len(named) else np.zeros(0, np.int64)
+    order = np.argsort(np.concatenate([first, named]), kind="stable")
+    where = np.concatenate([first, named])[order]
+    kind = np.concatenate([np.where(names[first] > 0, 1, 3), np.full(len(named), 2)]).astype(np.int8)[order]
+    return doc[where], np.concatenate([h[first], lower])[order], at[where], kind
 
 
 def _exact(word: str) -> str:
@@ -138,20 +144,23 @@ class Index:
         self.ids = [i for i, _ in items]
         self.words = [t.split() for _, t in items]
         owner, token, slot, place, word = tokens([t for _, t in items])
-        doc, h, at = templates(owner, token, slot, place)
-        where: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        doc, h, at, kinds = templates(owner, token, slot, place, word)
+        #: hash -> (item, set, position)
+        where: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
         seen = set()
-        for d, x, a in zip(doc.tolist(), h.tolist(), at.tolist(), strict=True):
-            if (d, x) not in seen:
-                seen.add((d, x))
-                where[x].append((d, a))
-        self.total = Counter(d for d, _ in seen)
+        for d, x, a, kind in zip(doc.tolist(), h.tolist(), at.tolist(), kinds.tolist(), strict=True):
+            for one in (1, 2):
+                if kind & one and (d, one, x) not in seen:
+                    seen.add((d, one, x))
+                    where[x].append((d, one, a))
+        self.total = Counter((d, one) for d, one, _ in seen)
         self.where = dict(where)
         self.keys = np.array(sorted(where), np.int64)
+
         #: item -> its words, its numbers; number of tokens hashed -> hash -> items
         self.wording: dict[int, tuple[list[str], int]] = {}
         self.starts: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
-        for d in sorted(set(owner.tolist()) - set(self.total)):
+        for d in sorted(set(owner.tolist()) - {d for d, _ in self.total}):
             of = np.flatnonzero(owner == d)
             if len(of) < LEAST_TOKENS:
                 continue
@@ -164,7 +173,7 @@ class Index:
     def find(self, texts: list[str]) -> list[tuple]:
         """(text number, item, matched, windows, coverage, slots, agreement) of each item found in each text."""
         doc, token, slot, at, word = tokens(texts)
-        return self._by_windows(texts, *templates(doc, token, slot, at)) + self._by_wording(texts, doc, at, word)
+        return self._by_windows(texts, *templates(doc, token, slot, at, word)) + self._by_wording(texts, doc, at, word)
 
     def _by_wording(self, texts: list[str], doc: np.ndarray, at: np.ndarray, word: np.ndarray) -> list[tuple]:
         out, last, words = {}, -1, []
@@ -182,7 +191,7 @@ class Index:
                         out[d, item] = (d, self.ids[item], 1, 1, 1.0, numbers, 1.0)
         return list(out.values())
 
-    def _by_windows(self, texts: list[str], doc: np.ndarray, h: np.ndarray, at: np.ndarray) -> list[tuple]:
+    def _by_windows(self, texts: list[str], doc: np.ndarray, h: np.ndarray, at: np.ndarray, kinds: np.ndarray) -> list[tuple]:
         if not len(self.keys) or not len(h):
             return []
         place = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
@@ -191,19 +200,20 @@ class Index:
         edges = np.flatnonzero(np.diff(doc[hit])) + 1
         for part in np.split(hit, edges):
             if len(part):
-                out += self._of_text(int(doc[part[0]]), texts, h[part].tolist(), at[part].tolist())
+                out += self._of_text(int(doc[part[0]]), texts, h[part].tolist(), at[part].tolist(), kinds[part].tolist())
         return out
 
-    def _of_text(self, d: int, texts: list[str], hs: list[int], at: list[int]) -> list[tuple]:
-        firsts = dict(zip(reversed(hs), reversed(at), strict=True))
-        places: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for x, a in firsts.items():
-            for item, b in self.where[x]:
-                places[item].append((b, a))
-        out, words = [], None
-        for item, pairs in places.items():
-            share = len(pairs) / self.total[item]
-            if share < SHARE and (len(pairs) < PASSAGE or _longest(pairs) < PASSAGE):
+    def _of_text(self, d: int, texts: list[str], hs: list[int], at: list[int], kinds: list[int]) -> list[tuple]:
+        places: dict[tuple[int, int], dict[int, tuple[int, int]]] = defaultdict(dict)
+        for x, a, kind in zip(hs, at, kinds, strict=True):
+            for item, one, b in self.where[x]:
+                if kind & one:
+                    places[item, one].setdefault(x, (b, a))
+        out, words, done = [], None, set()
+        for item, one in sorted(places):
+            pairs = list(places[item, one].values())
+            share = len(pairs) / self.total[item, one]
+            if item in done or share < SHARE and (len(pairs) < PASSAGE or _longest(pairs) < PASSAGE):
                 continue
             words = texts[d].split() if words is None else words
             slots = self._slots(item, pairs, words)
@@ -211,7 +221,8 @@ class Index:
             n = sum(sum(c.values()) for c in slots.values())
             if n and agree < SHARE * n:
                 continue
-            out.append((d, self.ids[item], len(pairs), self.total[item], round(share, 6), n, round(agree / n, 6) if n else 1.0))
+            done.add(item)
+            out.append((d, self.ids[item], len(pairs), self.total[item, one], round(share, 6), n, round(agree / n, 6) if n else 1.0))
         return out
 
     def _slots(self, item: int, pairs: list[tuple[int, int]], words: list[str]) -> dict[str, Counter]:

@@ -175,6 +175,14 @@ def test_slots_that_disagree_are_no_match():
     assert not index.find([item.replace("5", "8", 1).replace(" 5 d", " 2 d").replace(" 5 s", " 9 s")])
 
 
+def test_names_in_another_case_are_found(benchmark_items):
+    items = [benchmark_items[20], (30, "we saw how Anna Bell and Carl Dunn met Eva Frank near the old mill that day")]
+    index = decontaminate.Index(items)
+    for i, t in items:
+        assert all([x[1] for x in index.find([copy])] == [i] for copy in (t, t.lower(), t.upper(), t.replace("Anna", "Maria")))
+    assert not index.find([items[1][1].replace("old mill", "new park").replace("saw how", "knew why").lower()])
+
+
 def test_items_without_windows_are_found_by_their_wording():
     items = ["What is 48 + 57 - 13 * 2 / 5 ?", "Compute 12 * 7 + 5 * 3 - 8 / 2 .", "Who wrote Don Quixote?", "Capital of France?", "?", ""]
     index = decontaminate.Index(list(enumerate(items)))
