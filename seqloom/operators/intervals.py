@@ -273,15 +273,16 @@ def locus_groups(transcripts: DataFrame) -> DataFrame:
 def splice_events(introns: DataFrame, exons: DataFrame) -> DataFrame:
     """(gene, kind, lend, rend): alternative donors and acceptors, retained introns and skipped exons among a gene's transcripts.
 
-    introns and exons: (gene, transcript, strand, lend, rend), forward coordinates.
+    introns and exons: (gene, transcript, strand, lend, rend), forward coordinates. Whether an interval lies inside any of
+    the other kind is seen from the farthest end among those that start before it, so no pairs are made.
     """
     i = introns.select("gene", "strand", "lend", "rend").distinct()
-    j = i.select("gene", "strand", F.col("lend").alias("l2"), F.col("rend").alias("r2"))
-    pairs = i.join(j, ["gene", "strand"])
     plus = F.col("strand") == "+"
-    same_right = pairs.where("rend = r2 and lend < l2").select("gene", F.when(plus, "alt_donor").otherwise("alt_acceptor").alias("kind"), "lend", F.col("l2").alias("rend"))
-    same_left = pairs.where("lend = l2 and rend < r2").select("gene", F.when(plus, "alt_acceptor").otherwise("alt_donor").alias("kind"), "rend", F.col("r2").alias("rend2")).select("gene", "kind", F.col("rend").alias("lend"), F.col("rend2").alias("rend"))
-    e = exons.select("gene", "strand", F.col("lend").alias("l2"), F.col("rend").alias("r2")).distinct()
-    retained = i.join(e, ["gene", "strand"]).where("l2 < lend and r2 > rend").select("gene", F.lit("retained_intron").alias("kind"), "lend", "rend")
-    skipped = i.join(e, ["gene", "strand"]).where("l2 > lend and r2 < rend").select("gene", F.lit("skipped_exon").alias("kind"), F.col("l2").alias("lend"), F.col("r2").alias("rend"))
-    return same_right.union(same_left).union(retained).union(skipped).distinct()
+    same_right = i.join(i.withColumnRenamed("lend", "l2"), ["gene", "strand", "rend"]).where("lend < l2").select("gene", F.when(plus, "alt_donor").otherwise("alt_acceptor").alias("kind"), "lend", F.col("l2").alias("rend"))
+    same_left = i.join(i.withColumnRenamed("rend", "r2"), ["gene", "strand", "lend"]).where("rend < r2").select("gene", F.when(plus, "alt_acceptor").otherwise("alt_donor").alias("kind"), F.col("rend").alias("lend"), F.col("r2").alias("rend"))
+    e = exons.select("gene", "strand", "lend", "rend").distinct()
+    both = i.withColumn("exon", F.lit(False)).union(e.withColumn("exon", F.lit(True)))
+    before = Window.partitionBy("gene", "strand").orderBy("lend").rangeBetween(Window.unboundedPreceding, -1)
+    far = both.withColumn("far", F.when(F.col("exon"), F.max(F.when(~F.col("exon"), F.col("rend"))).over(before)).otherwise(F.max(F.when(F.col("exon"), F.col("rend"))).over(before)))
+    inside = far.where("far > rend").select("gene", F.when(F.col("exon"), "skipped_exon").otherwise("retained_intron").alias("kind"), "lend", "rend")
+    return same_right.union(same_left).union(inside).distinct()

@@ -361,8 +361,9 @@ def base_classes(s: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT gene, kind, lend, rend FROM (SELECT DISTINCT x.gene, 'alt_donor' AS kind, x.lend, y.lend AS rend FROM ii x JOIN ii y ON x.gene = y.gene AND x.rend = y.rend AND x.lend < y.lend UNION SELECT DISTINCT x.gene, 'alt_acceptor', x.rend, y.rend FROM ii x JOIN ii y ON x.gene = y.gene AND x.lend = y.lend AND x.rend < y.rend)".replace("ii ", "(SELECT DISTINCT scaffold AS gene, lend, rend FROM frags WHERE line = 1) "))
 def splice_sites(s: SparkSession, d: str) -> DataFrame:
-    i = frags(s, d).where("line = 1").select(F.col("scaffold").alias("gene"), F.col("okey").alias("transcript"), F.lit("+").alias("strand"), "lend", "rend")
-    return intervals.splice_events(i, i.where("false"))
+    """All shipments as introns, and as the exons that may retain or be skipped by them."""
+    i = frags(s, d).select(F.col("scaffold").alias("gene"), F.col("okey").alias("transcript"), F.lit("+").alias("strand"), "lend", "rend")
+    return intervals.splice_events(i, i)
 
 
 @query("SELECT gene, transcript, ord, node, lend, rend FROM (SELECT o_custkey AS gene, o_orderkey AS transcript, unnest([0, 1]) AS ord, unnest([CAST(o_orderkey % 7 AS INTEGER), CAST(o_orderkey % 7 + 1 AS INTEGER)]) AS node, unnest([0, 101]) AS lend, unnest([100, 150]) AS rend FROM orders)")
