@@ -244,12 +244,20 @@ def sample_distance(long: DataFrame, kind: str = "euclidean") -> DataFrame:
     return _paired(long, "sample", "feature").groupBy("a", "b").agg(agg.alias("distance"))
 
 
-def correlated_features(long: DataFrame, targets: DataFrame, n: int = 10, least: float = -1.0) -> DataFrame:
-    """For each target feature the n features whose values over the samples go with its own best. Targets are the small side."""
-    t = long.join(F.broadcast(targets.select(F.col("feature"))), "feature", "left_semi").select(F.col("feature").alias("target"), "sample", F.col("value").alias("t"))
-    c = long.join(F.broadcast(t), "sample").where("feature <> target").groupBy("target", "feature").agg(F.corr("t", "value").alias("cor")).where(F.col("cor") >= least)
+def correlated_features(long: DataFrame, targets: DataFrame, n: int = 10, least: float = -1.0, block: int = 100_000) -> DataFrame:
+    """For each target feature the n features whose values over the samples go with its own best. Targets are the small side, in blocks of about ``block`` values."""
+    t = long.join(targets.select("feature").distinct(), "feature", "left_semi").select(F.col("feature").alias("target"), "sample", F.col("value").alias("t"))
+    blocks = max(1, -(-t.count() // block))
+    # corr() fails on pairs without variance.
+    cor = F.try_divide(F.covar_pop("t", "value"), F.stddev_pop("t") * F.stddev_pop("value"))
     w = Window.partitionBy("target").orderBy(F.desc("cor"), "feature")
-    return c.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    out = None
+    for k in range(blocks):
+        part = t if blocks == 1 else t.where(F.pmod(F.xxhash64("target"), F.lit(blocks)) == k)
+        c = long.join(F.broadcast(part), "sample").where("feature <> target").groupBy("target", "feature").agg(cor.alias("cor")).where(F.col("cor") >= least)
+        best = c.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+        out = best if out is None else out.union(best)
+    return out
 
 
 def replicate_pairs(long: DataFrame, samples: DataFrame) -> DataFrame:
