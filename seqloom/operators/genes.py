@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -236,7 +237,7 @@ def abundance(hits: DataFrame, lengths: DataFrame, fragment: float = 200.0, roun
 
     hits: (read, transcript); lengths: (transcript, length). Reads with the same set of transcripts become one row of a
     class table; rounds work on that table only. Effective length is length - fragment + 1, 10 at least. It ends when the
-    log likelihood rises by less than tolerance.
+    log likelihood rises by less than tolerance; a run that the round limit ends before that warns.
     """
     classes = hits.distinct().groupBy("read").agg(F.array_sort(F.collect_set("transcript")).alias("ts")).groupBy("ts").agg(F.count(F.lit(1)).alias("n"))
     classes = classes.withColumn("c", F.xxhash64("ts")).select("c", "n", F.size("ts").alias("k"), F.explode("ts").alias("transcript"))
@@ -256,6 +257,8 @@ def abundance(hits: DataFrame, lengths: DataFrame, fragment: float = 200.0, roun
             break
         last = likelihood
         theta = graphs.cut_lineage(w.join(z.select("c", "z"), "c").groupBy("transcript").agg((F.sum(F.col("n") * F.col("w") / F.col("z")) / total).alias("theta")))
+    else:
+        warnings.warn(f"abundance did not settle in {rounds} rounds", RuntimeWarning, stacklevel=2)
     x = theta.join(eff, "transcript").withColumn("count", F.col("theta") * total).withColumn("rate", F.col("count") / F.col("eff"))
     return x.crossJoin(F.broadcast(x.agg(F.sum("rate").alias("_t")))).select("transcript", "count", (F.col("rate") / F.col("_t") * 1e6).alias("tpm"))
 

@@ -601,7 +601,7 @@ def link_jaccard(s: SparkSession, d: str) -> DataFrame:
 def em_abundance(s: SparkSession, d: str) -> DataFrame:
     x = read(s, d, "lineitem").select(F.col("l_orderkey").alias("read"), F.col("l_suppkey").alias("transcript"))
     lengths = read(s, d, "supplier").select(F.col("s_suppkey").alias("transcript"), (F.length("s_name") * 100).alias("length"))
-    return genes.abundance(x, lengths, rounds=50, tolerance=1.0).select("transcript", F.round("count", 3).alias("count"), F.round("tpm", 3).alias("tpm"))
+    return genes.abundance(x, lengths).select("transcript", F.round("count", 3).alias("count"), F.round("tpm", 3).alias("tpm"))
 
 
 @query("SELECT doc_id FROM documents ORDER BY CAST(('0x' || substr(md5(doc_id || '|7'), 1, 12)) AS BIGINT), doc_id LIMIT 100")

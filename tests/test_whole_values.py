@@ -1,13 +1,13 @@
-"""correlated_features for every hundredth feature, against a plain version."""
+"""correlated_features for every hundredth feature and em_abundance to its tolerance, against plain versions."""
 
 import math
 import os
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import pytest
 from seqloom import catalog
-from seqloom.operators import matrix
+from seqloom.operators import genes, matrix
 from seqloom.plans.bindings import VIEWS
 
 DIR = "/root/testdata/sf0.001"
@@ -49,3 +49,35 @@ def test_blocks_of_targets_and_constant_values(spark):
     long = spark.createDataFrame(rows, "feature long, sample string, value double")
     got = matrix.correlated_features(long, spark.createDataFrame([(f,) for f in range(6)], "feature long"), 20, 0.1, block=7).collect()
     assert {(r.target, r.feature, round(r.cor, 6)) for r in got} == {(t, f, round(c, 6)) for t, f, c in best(values, range(6), 20, 0.1)}
+
+
+@needs_tables
+def test_em_abundance_runs_to_its_tolerance(spark):
+    reads = defaultdict(set)
+    for r, t in duckdb.sql(f"SELECT l_orderkey, l_suppkey FROM '{DIR}/lineitem.parquet'").fetchall():
+        reads[r].add(t)
+    eff = {t: max(n * 100 - 200 + 1, 10) for t, n in duckdb.sql(f"SELECT s_suppkey, length(s_name) FROM '{DIR}/supplier.parquet'").fetchall()}
+    sets, theta = Counter(map(frozenset, reads.values())), Counter()
+    for c, n in sets.items():
+        for t in c:
+            theta[t] += n / len(c) / len(reads)
+    last = None
+    for _ in range(1000):
+        z = {c: sum(theta[t] / eff[t] for t in c) for c in sets}
+        now = sum(n * math.log(z[c]) for c, n in sets.items())
+        if last is not None and abs(now - last) < 0.01:
+            break
+        last, new = now, Counter()
+        for c, n in sets.items():
+            for t in c:
+                new[t] += n * theta[t] / eff[t] / z[c] / len(reads)
+        theta = new
+    got = {r.transcript: r["count"] for r in catalog.QUERIES["em_abundance"](spark, DIR).collect()}
+    assert got == pytest.approx({t: x * len(reads) for t, x in theta.items()}, abs=0.002)
+
+
+def test_abundance_says_that_it_did_not_settle(spark):
+    hits = spark.createDataFrame([("r1", "a"), ("r1", "b"), ("r2", "a")], "read string, transcript string")
+    lengths = spark.createDataFrame([("a", 900), ("b", 500)], "transcript string, length long")
+    with pytest.warns(RuntimeWarning, match="did not settle in 1 rounds"):
+        genes.abundance(hits, lengths, rounds=1).collect()
