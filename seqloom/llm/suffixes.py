@@ -3,8 +3,9 @@
 Equal texts first collapse into one, that of the smallest id. Of the others, every string of ``length`` bytes picks one
 anchor by its content alone: the leftmost smallest hash of the ``gram``-byte strings in it. Equal strings have equal
 anchors at equal places, so only suffixes at anchors are sorted: about one in 30 bytes. A suffix's key starts with its
-leading bytes; sampled splitters range-partition the suffixes by it, buckets are sorted locally by multikey quicksort
-(by the leading bytes, then runs of equals by what follows, each compared by hash), and neighbours are compared.
+leading bytes; sampled splitters range-partition the suffixes by it, buckets are sorted locally by numpy's sorts (by four
+leading bytes and a hash of the gram, then runs of equals by a hash of what follows), and neighbours are compared. Equal
+hashes count as equal bytes.
 Suffixes whose whole surroundings (all strings of that anchor) are equal are repeats but for the first. Where
 surroundings differ under one leading gram, or a run may go on in the next bucket, their strings are laid out singly,
 range-partitioned and sorted again, and compared across the boundaries of buckets too. Ids and places are part of the
