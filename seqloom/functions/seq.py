@@ -49,9 +49,13 @@ def gc_percent(seq: Column) -> Column:
 
 
 def kmers(seq: Column, k: int) -> Column:
-    """All k-mers in order; empty if the sequence is shorter than k."""
-    some = F.transform(F.sequence(F.lit(1), F.length(seq) - (k - 1)), lambda i: F.substring(seq, i, F.lit(k)))
-    return F.when(F.length(seq) >= k, some).otherwise(F.array().cast("array<string>"))
+    """All k-mers in order, in one pass; empty if the sequence is null or shorter than k. For sequences of any length see operators.kmers.positions, which needs no array of them all."""
+    return F.coalesce(F.regexp_extract_all(seq, F.lit(f"(?s)(?=(.{{{k}}}))."), F.lit(1)), F.array().cast("array<string>"))
+
+
+def overlapping_blocks(seq: Column, k: int, size: int) -> Column:
+    """The sequence cut into blocks of ``size`` k-mers, in one pass: each k-mer starts in the first ``size`` places of just one block."""
+    return F.regexp_extract_all(seq, F.lit(f"(?s)(?=(.{{{k},{size + k - 1}}})).{{1,{size}}}"), F.lit(1))
 
 
 def canonical(kmer: Column) -> Column:

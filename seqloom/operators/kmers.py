@@ -1,7 +1,8 @@
 """K-mer tables, coverage statistics of reads, normalisation, overlap graphs and greedy contigs.
 
-Sequences are frames (accession, sequence). K-mers are made in the JVM from whole sequences; counting combines on the map
-side, so a k-mer that is everywhere costs one row per task in the shuffle.
+Sequences are frames (accession, sequence). They are cut in the JVM into blocks that overlap by a k-mer, and a row's k-mer
+is taken from its block: time is linear in a sequence's length, and no row holds all its k-mers. Counting combines on the
+map side, so a k-mer that is everywhere costs one row per task in the shuffle.
 """
 
 from __future__ import annotations
@@ -14,10 +15,20 @@ from ..workers import importable
 from . import graphs
 
 
-def positions(seqs: DataFrame, k: int, canonical: bool = False) -> DataFrame:
-    """(accession, pos, kmer), from position 0."""
-    x = seqs.select("accession", F.posexplode(S.kmers(F.col("sequence"), k)).alias("pos", "kmer"))
-    return x.withColumn("kmer", S.canonical(F.col("kmer"))) if canonical else x
+#: K-mers of a block; finding one in it costs up to as many steps.
+BLOCK = 48
+
+
+def positions(seqs: DataFrame, k: int, canonical: bool = False, carry: tuple[str, ...] = ("accession",)) -> DataFrame:
+    """(carried columns, pos, kmer), from position 0."""
+    x = seqs.select(*carry, F.posexplode(S.overlapping_blocks(F.col("sequence"), k, BLOCK)).alias("_b", "_block"))
+    if canonical:  # a block's complement is made once for all its k-mers
+        x = x.withColumn("_rc", S.reverse_complement(F.col("_block")))
+    x = x.select("*", F.explode(F.sequence(F.lit(1), F.length("_block") - (k - 1))).alias("_i"))
+    kmer = F.substring("_block", F.col("_i"), F.lit(k))
+    if canonical:
+        kmer = F.least(kmer, F.substring("_rc", F.length("_block") - F.col("_i") - (k - 2), F.lit(k)))
+    return x.select(*carry, (F.col("_b") * BLOCK + F.col("_i") - 1).alias("pos"), kmer.alias("kmer"))
 
 
 def counts(seqs: DataFrame, k: int, canonical: bool = True, least: int = 1) -> DataFrame:
@@ -56,14 +67,17 @@ def normalised(stats: DataFrame, max_cov: float = 200, min_cov: float = 0, max_c
     return stats.where(ok & (S.hash_uniform(F.col(key), seed=seed) * F.col("median") <= max_cov))
 
 
-def shared_by_sets(seqs: DataFrame, genes: DataFrame, k: int = 24, canonical: bool = True, widest: int = 1000) -> DataFrame:
-    """(genes, n): how many k-mers each set of two genes or more has in common. Sets over ``widest`` genes are counted as '*'.
+def shared_by_sets(seqs: DataFrame, genes: DataFrame, k: int = 24, canonical: bool = True) -> DataFrame:
+    """(first_kmer, gene, genes, n): for each set of two genes or more that k-mers have in common its genes, one a row, with the set's size, the number of its
+    k-mers and the smallest of them, which names the set.
 
-    genes: (accession, gene). The set of a k-mer has distinct genes only, made by partial sets on the map side.
+    genes: (accession, gene). A k-mer's set is told by sums of two hashes of its distinct genes, so no set is ever collected.
     """
     x = positions(seqs, k, canonical).select("accession", "kmer").join(genes, "accession").select("kmer", "gene").distinct()
-    sets = x.groupBy("kmer").agg(F.array_sort(F.collect_set("gene")).alias("g")).where(F.size("g") > 1)
-    return sets.groupBy(F.when(F.size("g") > widest, "*").otherwise(F.array_join("g", ",")).alias("genes")).agg(F.count(F.lit(1)).alias("n"))
+    hashed = [F.sum(F.xxhash64(F.lit(i), "gene").cast("decimal(38,0)")).alias(f"h{i}") for i in (0, 1)]
+    sets = x.groupBy("kmer").agg(F.count(F.lit(1)).alias("genes"), *hashed).where("genes > 1")
+    named = sets.groupBy("genes", "h0", "h1").agg(F.min("kmer").alias("kmer"), F.count(F.lit(1)).alias("n"))
+    return x.join(named, "kmer").select(F.col("kmer").alias("first_kmer"), "gene", "genes", "n")
 
 
 def sharing_links(seqs: DataFrame, k: int, canonical: bool = False) -> DataFrame:
@@ -80,34 +94,33 @@ def best_bundle(reads: DataFrame, contigs: DataFrame, k: int = 25, least_percent
     """(accession, bundle, shared, percent): the bundle that has most of a read's distinct k-mers. contigs: (accession, sequence, bundle)."""
     own = positions(reads, k, canonical).select("accession", "kmer").distinct()
     total = own.groupBy("accession").agg(F.count(F.lit(1)).alias("total"))
-    have = contigs.select("bundle", F.explode(S.kmers(F.col("sequence"), k)).alias("kmer"))
-    have = (have.withColumn("kmer", S.canonical(F.col("kmer"))) if canonical else have).distinct()
+    have = positions(contigs, k, canonical, carry=("bundle",)).select("bundle", "kmer").distinct()
     hits = own.join(have, "kmer").groupBy("accession", "bundle").agg(F.count(F.lit(1)).alias("shared")).join(total, "accession").withColumn("percent", F.col("shared") * 100.0 / F.col("total"))
     best = F.row_number().over(Window.partitionBy("accession").orderBy(F.desc("shared"), "bundle"))
     return hits.where(F.col("percent") >= least_percent).withColumn("_r", best).where("_r = 1").select("accession", "bundle", "shared", "percent")
 
 
 # Graphs of overlapping k-mers ------------------------------------------------------------------------------------
+def _ends(kmer: str, k: int) -> list:
+    return [F.substring(kmer, 1, k).alias("src"), F.substring(kmer, 2, k).alias("dst")]
+
+
 def edges(seqs: DataFrame, k: int) -> DataFrame:
-    """(src, dst, weight): k-mers that follow each other, with how often they do."""
-    ks = S.kmers(F.col("sequence"), k)
-    pairs = F.zip_with(F.slice(ks, 1, F.greatest(F.size(ks) - 1, F.lit(0))), F.slice(ks, 2, F.greatest(F.size(ks) - 1, F.lit(0))), lambda a, b: F.struct(a.alias("src"), b.alias("dst")))
-    return seqs.select(F.explode(pairs).alias("e")).groupBy("e.src", "e.dst").agg(F.count(F.lit(1)).alias("weight"))
+    """(src, dst, weight): k-mers that follow each other, with how often they do. An edge is counted as one (k + 1)-mer."""
+    return counts(seqs, k + 1, canonical=False).select(*_ends("kmer", k), F.col("n").alias("weight"))
 
 
 def edge_readers(seqs: DataFrame, k: int) -> DataFrame:
-    """(src, dst, readers): the sequences that make each edge."""
-    ks = S.kmers(F.col("sequence"), k)
-    pairs = F.zip_with(F.slice(ks, 1, F.greatest(F.size(ks) - 1, F.lit(0))), F.slice(ks, 2, F.greatest(F.size(ks) - 1, F.lit(0))), lambda a, b: F.struct(a.alias("src"), b.alias("dst")))
-    return seqs.select("accession", F.explode(pairs).alias("e")).groupBy("e.src", "e.dst").agg(F.collect_set("accession").alias("readers"))
+    """(src, dst, reader): the sequences that make each edge, one a row."""
+    return positions(seqs, k + 1).select("accession", "kmer").distinct().select(*_ends("kmer", k), F.col("accession").alias("reader"))
 
 
 def well_supported(readers: DataFrame, least: float = 0.1) -> DataFrame:
-    """Edges whose readers are at least that share of the readers of all edges at either end of it."""
-    ends = readers.select(F.col("src").alias("node"), "readers").union(readers.select(F.col("dst").alias("node"), "readers"))
-    at = ends.select("node", F.explode("readers").alias("r")).distinct().groupBy("node").agg(F.count(F.lit(1)).alias("n"))
-    x = readers.join(at.select(F.col("node").alias("src"), F.col("n").alias("ns")), "src").join(at.select(F.col("node").alias("dst"), F.col("n").alias("nd")), "dst")
-    return x.where(F.size("readers") >= least * F.greatest("ns", "nd")).select("src", "dst", "readers")
+    """(src, dst, readers): edges whose number of readers is at least that share of the readers of all edges at either end of it."""
+    at = readers.select(F.col("src").alias("node"), "reader").union(readers.select("dst", "reader")).distinct().groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    x = readers.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("readers"))
+    x = x.join(at.select(F.col("node").alias("src"), F.col("n").alias("ns")), "src").join(at.select(F.col("node").alias("dst"), F.col("n").alias("nd")), "dst")
+    return x.where(F.col("readers") >= least * F.greatest("ns", "nd")).select("src", "dst", "readers")
 
 
 def degrees(e: DataFrame) -> DataFrame:
