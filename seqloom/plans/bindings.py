@@ -60,7 +60,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def seqs(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "documents").select(F.col("doc_id").alias("accession"), F.col("source").alias("gene"), F.regexp_replace(F.upper(F.coalesce("text", F.lit(""))), "[^ACGT]", "").alias("sequence"))
+    return read(spark, d, "documents").select(F.col("doc_id").alias("accession"), F.col("source").alias("gene"), F.regexp_replace(F.upper(F.coalesce("text", F.lit(""))), "[^ACGT]+", "").alias("sequence"))
 
 
 def cells(spark: SparkSession, d: str) -> DataFrame:
@@ -188,7 +188,7 @@ def read_normalise(s: SparkSession, d: str) -> DataFrame:
     return kmers.normalised(kmers.read_stats(x, kmers.counts(x, _K), _K), max_cov=20).select("accession", "median")
 
 
-@query(f"SELECT genes, count(*) AS n FROM (SELECT kmer, array_to_string(list_sort(list(DISTINCT gene)), ',') AS genes FROM ({_CANON}) GROUP BY kmer HAVING count(DISTINCT gene) > 1) GROUP BY genes")
+@query(f"""SELECT first_kmer, unnest(gs) AS gene, genes, n FROM (SELECT min(kmer) AS first_kmer, gs, CAST(len(gs) AS BIGINT) AS genes, count(*) AS n FROM (SELECT kmer, list_sort(list(DISTINCT gene)) AS gs FROM ({_CANON}) GROUP BY kmer HAVING count(DISTINCT gene) > 1) GROUP BY gs)""")
 def gene_shared_kmers(s: SparkSession, d: str) -> DataFrame:
     x = seqs(s, d)
     return kmers.shared_by_sets(x, x.select("accession", "gene"), _K)
@@ -579,7 +579,7 @@ def _part_edges(s: SparkSession, d: str) -> DataFrame:
     return x.where("l_linenumber = 1").select("l_orderkey", F.col("l_partkey").alias("a")).join(x.where("l_linenumber = 2").select("l_orderkey", F.col("l_partkey").alias("b")), "l_orderkey").where("a <> b").select("a", "b")
 
 
-_PART_EDGES = "SELECT x.l_partkey AS a, y.l_partkey AS b FROM lineitem x JOIN lineitem y USING (l_orderkey) WHERE x.l_linenumber = 1 AND y.l_linenumber = 2 AND (x.l_partkey + y.l_partkey) % 16 = 0 AND x.l_partkey <> y.l_partkey"
+_PART_EDGES = "SELECT x.l_partkey AS a, y.l_partkey AS b FROM lineitem x JOIN lineitem y USING (l_orderkey) WHERE x.l_linenumber = 1 AND y.l_linenumber = 2 AND x.l_partkey <> y.l_partkey"
 
 
 @query(f"WITH RECURSIVE e AS (SELECT a, b FROM ({_PART_EDGES}) UNION SELECT b, a FROM ({_PART_EDGES})), r AS (SELECT DISTINCT a AS node, a AS root FROM e UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node) SELECT node, min(root) AS component FROM r GROUP BY node")

@@ -360,7 +360,10 @@ def base_classes(s: SparkSession, d: str) -> DataFrame:
     return intervals.base_classes(frags(s, d).withColumn("code", (F.col("line") % 5 + 1).cast("int")))
 
 
-@query("SELECT gene, kind, lend, rend FROM (SELECT DISTINCT x.gene, 'alt_donor' AS kind, x.lend, y.lend AS rend FROM ii x JOIN ii y ON x.gene = y.gene AND x.rend = y.rend AND x.lend < y.lend UNION SELECT DISTINCT x.gene, 'alt_acceptor', x.rend, y.rend FROM ii x JOIN ii y ON x.gene = y.gene AND x.lend = y.lend AND x.rend < y.rend)".replace("ii ", "(SELECT DISTINCT scaffold AS gene, lend, rend FROM frags WHERE line = 1) "))
+@query("""SELECT DISTINCT x.gene, 'alt_donor' AS kind, x.lend, y.lend AS rend FROM ii x JOIN ii y ON x.gene = y.gene AND x.rend = y.rend AND x.lend < y.lend
+UNION ALL SELECT DISTINCT x.gene, 'alt_acceptor', x.rend, y.rend FROM ii x JOIN ii y ON x.gene = y.gene AND x.lend = y.lend AND x.rend < y.rend
+UNION ALL SELECT gene, 'retained_intron', lend, rend FROM ii x WHERE EXISTS (SELECT 1 FROM ii y WHERE y.gene = x.gene AND y.lend < x.lend AND y.rend > x.rend)
+UNION ALL SELECT gene, 'skipped_exon', lend, rend FROM ii x WHERE EXISTS (SELECT 1 FROM ii y WHERE y.gene = x.gene AND y.lend < x.lend AND y.rend > x.rend)""".replace("ii ", "(SELECT DISTINCT scaffold AS gene, lend, rend FROM frags) "))
 def splice_sites(s: SparkSession, d: str) -> DataFrame:
     """All shipments as introns, and as the exons that may retain or be skipped by them."""
     i = frags(s, d).select(F.col("scaffold").alias("gene"), F.col("okey").alias("transcript"), F.lit("+").alias("strand"), "lend", "rend")
