@@ -22,6 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, stem: str) -> str:
+    """A column name that df doesn't have, in whatever case."""
+    have, name = {c.lower() for c in df.columns}, f"_{stem}"
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches are bounded in rows and, where Spark can, in bytes: one may hold only very long texts. Python workers on this file's path can import it."""
     importable(spark)

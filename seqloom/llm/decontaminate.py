@@ -2,31 +2,41 @@
 
 Words lose punctuation and case; numbers, units behind a number, and names (capitalised words inside a sentence) become
 typed placeholders, so that a question asked with other numbers or names has the same template. Each five tokens in a
-row are a window; windows with fewer than three plain words say too little and are left out. A text's windows are
-looked up in the hash table of the benchmark's windows, in blocks of at most ``max_windows`` of them. Names are known by
-their capitals only, so items and texts have a second set of windows, in which names are plain words, for copies in
-another case; either set may match. An item is found in a text that has 0.8 or more of the item's distinct windows, or ``passage`` windows in a row of it (a passage of an item),
-if its slots are consistent: each value in the item goes with one value in the text, in 0.8 or more of the aligned slots.
+row are a window; windows with fewer than three plain words say too little and are left out. Names are known by their
+capitals only, so items and texts have a second set of windows, in which names are plain words, for copies in another
+case; either set may match. An item is found in a text that has 0.8 or more of the item's distinct windows, or
+``passage`` windows in a row of it (a passage of an item), if its slots are consistent: each value in the item goes with
+one value in the text, in 0.8 or more of the aligned slots. Every place of the text that could be a copy is aligned for
+itself, and the one whose slots agree best counts, so neither earlier nor later look-alikes hide a copy.
 
 An item without a window (of fewer than five tokens, or of little but slots) is found by its wording: hashes of its
 first tokens, five at most, find places in a text, where all its words, numbers and signs must follow, whatever the case
-and the punctuation. The result counts such an item as one window. Null and empty texts and items, and items of one or two
-tokens, match nothing. Repeated
-rows are matched each for itself. An empty table gives no rows. The result's order of rows is not defined.
+and the punctuation. The result counts such an item as one window.
+
+Windows of texts and items meet in a hash join. A benchmark of up to ``max_windows`` windows (by a count of its
+characters) is broadcast as one hash table. A larger one never reaches the driver: its windows are a table that the
+texts' windows are joined with by a shuffle, and the pairs found are verified on their whole texts. Only an item's rarest windows
+take part, as many as any text with enough of its windows must have one of, so wording that all items share pairs nothing.
+
+Null and empty texts and items, and items of one or two tokens, match nothing; an item with a null id is matched and
+reported as null. Very long texts are taken whole. Repeated rows are matched each for itself, repeated items once. An
+empty table gives no rows. A column of the result that has the id column's name gets "_found" added. The result's order
+of rows is not defined.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from itertools import islice
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, small_batches
+from .common import arrow_map, cut, small_batches, unused
 
 WINDOW = 5
 LEAST_WORDS = 3
@@ -34,10 +44,11 @@ LEAST_WORDS = 3
 LEAST_TOKENS = 3
 SHARE = 0.8
 PASSAGE = 25
-MAX_WINDOWS = 500_000
+#: Windows of a benchmark that is broadcast, about 300 bytes each in a worker.
+MAX_WINDOWS = 200_000
 #: Distinct words that a worker remembers; workers live on from stage to stage with what they hold.
 WORDS = 200_000
-COLUMNS = "item_id long, n_matched int, n_windows int, coverage double, n_slots int, slot_agreement double"
+COLUMNS = {"n_matched": "int", "n_windows": "int", "coverage": "double", "n_slots": "int", "slot_agreement": "double"}
 
 # Units of measure that may stand behind a number.
 UNITS = frozenset("mm cm m km in ft mi mile miles inch inches foot feet yard yards meter meters metre metres kilometer kilometers kilometre kilometres mg g kg gram grams kilogram kilograms ton tons tonne tonnes lb lbs pound pounds oz ounce ounces ml cl l liter liters litre litres gallon gallons cup cups s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks month months year years dollar dollars cent cents euro euros usd eur gbp percent degree degrees mph kmh kph w kw kwh watt watts volt volts hz khz mhz ghz kb mb gb tb".split())
@@ -145,16 +156,16 @@ class Index:
         self.words = [t.split() for _, t in items]
         owner, token, slot, place, word = tokens([t for _, t in items])
         doc, h, at, kinds = templates(owner, token, slot, place, word)
-        #: hash -> (item, set, position)
-        where: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+        #: hash -> (item, set) -> positions
+        where: dict[int, dict[tuple[int, int], list[int]]] = defaultdict(lambda: defaultdict(list))
         seen = set()
         for d, x, a, kind in zip(doc.tolist(), h.tolist(), at.tolist(), kinds.tolist(), strict=True):
             for one in (1, 2):
-                if kind & one and (d, one, x) not in seen:
+                if kind & one:
                     seen.add((d, one, x))
-                    where[x].append((d, one, a))
+                    where[x][d, one].append(a)
         self.total = Counter((d, one) for d, one, _ in seen)
-        self.where = dict(where)
+        self.where = {x: list(w.items()) for x, w in where.items()}
         self.keys = np.array(sorted(where), np.int64)
 
         #: item -> its words, its numbers; number of tokens hashed -> hash -> items
@@ -204,25 +215,34 @@ class Index:
         return out
 
     def _of_text(self, d: int, texts: list[str], hs: list[int], at: list[int], kinds: list[int]) -> list[tuple]:
-        places: dict[tuple[int, int], dict[int, tuple[int, int]]] = defaultdict(dict)
+        #: (item, set) -> window -> its places in the item, its places in the text, in order
+        places: dict[tuple[int, int], dict[int, tuple[list[int], list[int]]]] = defaultdict(dict)
         for x, a, kind in zip(hs, at, kinds, strict=True):
-            for item, one, b in self.where[x]:
+            for (item, one), own in self.where[x]:
                 if kind & one:
-                    places[item, one].setdefault(x, (b, a))
+                    places[item, one].setdefault(x, (own, []))[1].append(a)
         out, words, done = [], None, set()
         for item, one in sorted(places):
-            pairs = list(places[item, one].values())
-            share = len(pairs) / self.total[item, one]
-            if item in done or share < SHARE and (len(pairs) < PASSAGE or _longest(pairs) < PASSAGE):
+            found = list(places[item, one].values())
+            share = len(found) / self.total[item, one]
+            if item in done or share < SHARE and len(found) < PASSAGE:
                 continue
             words = texts[d].split() if words is None else words
-            slots = self._slots(item, pairs, words)
-            agree = sum(c.most_common(1)[0][1] for c in slots.values())
-            n = sum(sum(c.values()) for c in slots.values())
-            if n and agree < SHARE * n:
-                continue
-            done.add(item)
-            out.append((d, self.ids[item], len(pairs), self.total[item, one], round(share, 6), n, round(agree / n, 6) if n else 1.0))
+            best = None
+            for pairs in _alignments(found):
+                if share < SHARE and _longest(pairs) < PASSAGE:
+                    continue
+                slots = self._slots(item, pairs, words)
+                agree = sum(c.most_common(1)[0][1] for c in slots.values())
+                n = sum(sum(c.values()) for c in slots.values())
+                if best is None or agree * best[1] > best[0] * n or not n:
+                    best = (agree, n) if n else (1, 1)
+                    told = n
+                if best[0] == best[1]:
+                    break
+            if best and best[0] >= SHARE * best[1]:
+                done.add(item)
+                out.append((d, self.ids[item], len(found), self.total[item, one], round(share, 6), told, round(best[0] / best[1], 6)))
         return out
 
     def _slots(self, item: int, pairs: list[tuple[int, int]], words: list[str]) -> dict[str, Counter]:
@@ -238,6 +258,19 @@ class Index:
         return values
 
 
+def _alignments(found: list[tuple[list[int], list[int]]]):
+    """Ways of laying an item along a text: for each offset between them that a window shows, each of the item's places with the text's place nearest to that offset; offsets that most windows show first."""
+    offsets = Counter(a - own[0] for own, there in found for a in there)
+    for offset, _ in sorted(offsets.items(), key=lambda x: (-x[1], x[0])):
+        pairs = []
+        for own, there in found:
+            for b in own:
+                k = bisect_left(there, b + offset)
+                near = there[max(0, k - 1) : k + 1]
+                pairs.append((b, min(near, key=lambda a: abs(a - b - offset))))
+        yield pairs
+
+
 def _longest(pairs: list[tuple[int, int]]) -> int:
     """Most windows in a row at one offset between item and text."""
     best = run = 0
@@ -248,23 +281,55 @@ def _longest(pairs: list[tuple[int, int]]) -> int:
     return best
 
 
-def find_contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_windows: int = MAX_WINDOWS) -> DataFrame:
-    """Rows (id, item_id, n_matched, n_windows, coverage, n_slots, slot_agreement) for each item found in each text."""
-    kind = docs.select(id_col).schema[0].dataType.simpleString()
-    parts = [arrow_map(docs.select(id_col, F.col(text_col).cast("string")), _matcher(index), f"`{id_col}` {kind}, {COLUMNS}") for index in _indexes(docs, benchmark, item_col, item_text_col, max_windows)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
+def window_hashes(texts: list[str], starts: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, hash) of the distinct windows of both sets of each text, and of each ``starts`` words in a row."""
+    owner, token, slot, at, word = tokens(texts)
+    doc, h, _, _ = templates(owner, token, slot, at, word)
+    docs, hashes = [doc], [h]
+    for k in starts:
+        there = _same(owner, k)
+        docs.append(owner[: len(there)][there])
+        hashes.append(_start(_runs(word, k)[there], k))
+    both = np.unique(np.stack([np.concatenate(docs).astype(np.int64), np.concatenate(hashes)]), axis=1)
+    return both[0], both[1]
+
+
+def _start(h: np.ndarray, k: int) -> np.ndarray:
+    return h ^ np.int64(k + 1)
+
+
+def _name(column: str, id_col: str) -> str:
+    return f"{column}_found" if column.lower() == id_col.lower() else column
 
 
-def _indexes(docs: DataFrame, benchmark: DataFrame, item_col: str, text_col: str, max_windows: int) -> list:
-    """Broadcast indexes of blocks of the benchmark, each of a checked size."""
-    items = benchmark.select(F.col(item_col).cast("long").alias("i"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")).dropna().dropDuplicates()
-    size = items.agg(F.coalesce(F.sum(F.length("t") / 2 + 1), F.lit(0)).cast("long")).first()[0]
-    n = max(1, -(-size // max_windows))
-    sc = docs.sparkSession.sparkContext
-    return [sc.broadcast(Index([tuple(r) for r in (items if n == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)).collect()])) for k in range(n)]
+def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    """Distinct (i, t)."""
+    return benchmark.select(F.col(item_col).alias("i"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")).where("trim(t) <> ''").dropDuplicates()
+
+
+def _index(items: DataFrame, max_windows: int):
+    """The items' broadcast index, or None if they have over max_windows windows: a text has at most one for two characters."""
+    if items.agg(F.coalesce(F.sum(F.length("t") / 2 + 1), F.lit(0)).cast("long")).first()[0] > max_windows:
+        return None
+    return items.sparkSession.sparkContext.broadcast(Index([tuple(r) for r in items.collect()]))
+
+
+def _address(text):
+    return F.substring(F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256)), 1, 16)
+
+
+def find_contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_windows: int = MAX_WINDOWS) -> DataFrame:
+    """Rows (id, item_id, n_matched, n_windows, coverage, n_slots, slot_agreement) for each item found in each text."""
+    kind, item_kind = (df.select(c).schema[0].dataType.simpleString() for df, c in ((docs, id_col), (benchmark, item_col)))
+    columns = {_name("item_id", id_col): item_kind} | {_name(c, id_col): t for c, t in COLUMNS.items()}
+    items = _items(benchmark, item_col, item_text_col)
+    index = _index(items, max_windows)
+    if index is not None:
+        schema = f"`{id_col}` {kind}, " + ", ".join(f"{c} {t}" for c, t in columns.items())
+        return arrow_map(docs.select(id_col, F.col(text_col).cast("string")), _matcher(index), schema)
+    found = _joined(docs, items, text_col, item_kind)
+    rows = docs.select(F.col(id_col).alias("id"), _address(F.col(text_col)).alias("h"))
+    return rows.join(found, "h").select(F.col("id").alias(id_col), *[F.col(c).alias(n) for c, n in zip(["item", *COLUMNS], columns, strict=True)])
 
 
 def _matcher(index):
@@ -275,12 +340,62 @@ def _matcher(index):
     return f
 
 
+def _joined(docs: DataFrame, items: DataFrame, text_col: str, item_kind: str) -> DataFrame:
+    """(h, item, figures) of each text and item that match, h a text's address: windows are joined by a shuffle, pairs then verified."""
+    items = cut(items.withColumn("k", F.substring(F.unhex(F.sha2(F.concat(F.coalesce(F.col("i").cast("string"), F.lit("")), F.lit("\0"), F.col("i").isNull().cast("string"), F.lit("\0"), "t"), 256)), 1, 16)), "items")
+
+    def item_windows(keys, texts):
+        rows = []
+        for key, text in zip(keys, texts, strict=True):
+            one = Index([(0, text)])
+            rows += [(key, s, x, one.total[0, s]) for x, w in one.where.items() for (_, s), _ in w]
+            rows += [(key, 0, int(_start(np.int64(x), n)), n) for n, starts in one.starts.items() for x in starts]
+        return tuple(map(list, zip(*rows, strict=True))) if rows else ([], [], [], [])
+
+    windows = cut(arrow_map(items.select("k", "t"), item_windows, "k binary, s int, w long, total int"), "windows")
+    starts = tuple(sorted(r.total for r in windows.where("s = 0").select("total").distinct().collect()))  # three at most
+    # A text with enough windows of an item has one of its (total - enough + 1) rarest at least.
+    enough = F.when(F.col("s") == 0, F.col("total")).otherwise(F.least(F.ceil(F.lit(SHARE) * F.col("total") - 1e-9), F.lit(PASSAGE)))
+    often = windows.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.row_number().over(Window.partitionBy("k", "s").orderBy("n", "w"))
+    rare = windows.join(often, "w").withColumn("r", rank).where(F.col("r") <= F.when(F.col("s") == 0, 1).otherwise(F.col("total") - enough + 1)).select("w", "k").distinct()
+    texts = docs.select(_address(F.col(text_col)).alias("h"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")).where("trim(t) <> ''")
+
+    def text_windows(addresses, texts):
+        doc, w = window_hashes(texts, starts)
+        return [addresses[d] for d in doc.tolist()], w
+
+    own = arrow_map(texts, text_windows, "h binary, w long")
+    pairs = own.join(rare, "w").select("h", "k").distinct()
+    alone = texts.groupBy("h").agg(F.first("t").alias("t"))
+    seen: dict[bytes, Index] = {}
+
+    def verify(addresses, texts, keys, names, bodies):
+        out = [[] for _ in range(7)]
+        for h, t, k, i, body in zip(addresses, texts, keys, names, bodies, strict=True):
+            if k not in seen:
+                if len(seen) >= 1000:
+                    seen.clear()
+                seen[k] = Index([(0, body)])
+            for x in seen[k].find([t]):
+                for column, value in zip(out, (h, i, *x[2:]), strict=True):
+                    column.append(value)
+        return out
+
+    both = pairs.join(items.select("k", "i", F.col("t").alias("body")), "k").join(alone, "h").select("h", "t", "k", "i", "body")
+    return arrow_map(both, verify, f"h binary, item {item_kind}, " + ", ".join(f"{c} {t}" for c, t in COLUMNS.items()))
+
+
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_windows: int = MAX_WINDOWS) -> DataFrame:
-    """The rows of docs in whose text no item is found, all columns kept. No shuffle."""
+    """The rows of docs in whose text no item is found, all columns kept. No shuffle for a benchmark of up to max_windows windows."""
     small_batches(docs.sparkSession)
-    for index in _indexes(docs, benchmark, item_col, item_text_col, max_windows):
-        docs = docs.where(_clean(index)(F.col(text_col).cast("string")))
-    return docs
+    items = _items(benchmark, item_col, item_text_col)
+    index = _index(items, max_windows)
+    if index is not None:
+        return docs.where(_clean(index)(F.col(text_col).cast("string")))
+    found = _joined(docs, items, text_col, benchmark.select(item_col).schema[0].dataType.simpleString())
+    name = unused(docs, "address")
+    return docs.withColumn(name, _address(F.col(text_col))).join(found.select(F.col("h").alias(name)).distinct(), name, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _clean(index):
