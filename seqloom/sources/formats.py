@@ -6,7 +6,6 @@ pruned. Formats whose records span lines carry the record's place in the file as
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable
 
@@ -14,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.seq import fasta_record, reverse_complement, wrapped
+from ..workers import shared_folder
 
 Paths = str | list[str]
 
@@ -32,9 +32,8 @@ QUANT = {
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the cluster shares (spark.checkpoint.dir), or in one of our own where it is unset; gone when the application ends."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.mkdtemp(prefix='seqloom-')}"
-    path = f"{where.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the folder that the cluster shares; gone when the application ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
     return path
