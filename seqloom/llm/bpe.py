@@ -5,9 +5,12 @@ blank-separated chunks, one after the other; each distinct chunk of a worker is
 ``LEAF`` characters is pre-tokenized as a whole and a pre-token longer than that is cut in halves, again and again;
 where two halves meet, a window around the join is encoded anew and doubled until it agrees with the left half on two
 tokens in a row before the join and with the right half on two tokens in a row behind it. Adjacent tokens of a BPE
-encoding fix each other, so the spliced sequence is then exactly the encoding of the whole.
+encoding fix each other, so the spliced sequence is then exactly the encoding of the whole. Texts are encoded in parallel
+by tasks; the halves of one text one after the other, as the library's model holds the interpreter's lock.
 
-Null text counts as empty: no ids, empty decoded text. Equal texts give equal rows; repeated rows stay.
+Null text counts as empty: no ids, empty decoded text. Very long texts are encoded whole, in time linear in their length
+but for the joins. Equal texts give equal rows; repeated rows stay. An empty table gives no rows, and other columns, of
+any name, don't matter.
 """
 
 from __future__ import annotations
@@ -112,7 +115,9 @@ class TreeEncoder:
         out = self.cache.get(p)
         if out is None:
             tokens = self.tok.model.tokenize(p if p.isascii() else p.translate(_BYTES))
-            out = self.cache[p] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+            out = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+            if len(p) <= CACHE_CHUNK_CHARS:
+                self.cache[p] = out
         return out
 
     def _learn(self, chunks: set[str]) -> None:
@@ -120,7 +125,7 @@ class TreeEncoder:
         short, cache = [], self.cache
         for c in chunks:
             if _SINGLE.fullmatch(c):
-                self._piece(c)
+                cache[c] = self._piece(c)
             elif len(c) <= self.leaf and _PLAIN.fullmatch(c):
                 cache[c] = b"".join([self._piece(p) for p in _PIECE.findall(c.lower())])
             elif len(c) <= self.leaf:

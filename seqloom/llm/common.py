@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import gc
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..workers import importable
+from ..workers import importable, shared_folder
 
 #: Rows of a batch handed to Python; with long texts this bounds a worker's memory.
 BATCH_ROWS = 512
@@ -54,17 +53,6 @@ def arrow_map(df: DataFrame, f: Callable[..., Iterator[dict]], schema: str) -> D
     return df.mapInArrow(run, schema)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset (local runs, tests)."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not where:
-        where = spark.conf.get("spark.seqloom.scratch", None)
-        if not where:
-            where = f"file://{tempfile.mkdtemp(prefix='seqloom-')}"
-            spark.conf.set("spark.seqloom.scratch", where)
-    return where.rstrip("/")
-
-
 def tidy(spark: SparkSession) -> None:
     """Lets go of the shuffle files of jobs that have ended; else they stay until the driver happens to collect its garbage."""
     gc.collect()
@@ -74,7 +62,7 @@ def tidy(spark: SparkSession) -> None:
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a Parquet table in the shared folder and reads it back: lineage ends here, and a lost executor costs nothing that was done before. The table goes when the application ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

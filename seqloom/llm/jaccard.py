@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, components, cut, free, small_batches
+from .common import arrow_map, components, cut, free, small_batches, unused
 
 SHINGLE = 4
 PERCENT = 85
@@ -312,18 +312,28 @@ def similar_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def without_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each component stays, the one with the smallest id; rows with empty sets and null ids stay too.
+    """One row of each component stays, the one with the smallest id; rows with empty sets and null ids all stay too.
 
-    The id is taken as a key: of several rows with one id that stays, one is kept.
+    Where ids repeat, texts under one id are told apart, in an order by id and then by the text's address, and of rows that
+    are equal in both the one with the smallest hash of its columns stands for all.
     """
-    found = similar_classes(docs, id_col=id_col, text_col=text_col, shingle=shingle, percent=percent)
-    gone = found.where("component_id <> id").select(F.col("id").alias("_gone")).distinct()
-    gone = cut(gone, "gone")
+    ids = docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    if ids.where("n > 1").isEmpty():
+        return _without_gone(docs, id_col, text_col, shingle, percent)
+    number, address, row = (unused(docs, x) for x in ("number", "address", "row"))
+    text, own = F.col(text_col).cast("string"), [F.col(f"`{c}`") for c in docs.columns]
+    usable = F.col(id_col).isNotNull() & F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    keyed = docs.where(usable).withColumn(address, F.unhex(F.sha2(text, 256)))
+    order = [F.col(f"`{id_col}`"), F.col(address)]
+    numbers = cut(keyed.select(*order).distinct().repartitionByRange(*order).sortWithinPartitions(*order).withColumn(number, F.monotonically_increasing_id()), "numbers")
+    once = keyed.join(numbers, [id_col, address]).groupBy(number).agg(F.min_by(F.struct(*own), F.xxhash64(F.to_json(F.struct(*own)))).alias(row))
+    once = cut(once.select(number, f"{row}.*"), "once")
+    return _without_gone(once, number, text_col, shingle, percent).select(*own).unionByName(docs.where(~usable))
+
+
+def _without_gone(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
+    found, name = similar_classes(docs, id_col=id_col, text_col=text_col, shingle=shingle, percent=percent), unused(docs, "gone")
+    gone = cut(found.where("component_id <> id").select(F.col("id").alias(name)).distinct(), "gone")
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    kept = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
-    twice = cut(docs.groupBy(F.col(id_col).alias("_id")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 and _id is not null").select("_id"), "twice")
-    if twice.isEmpty():
-        return kept
-    again = kept.join(twice, kept[id_col] == twice["_id"], "left_semi").dropDuplicates([id_col])
-    return kept.join(twice, kept[id_col] == twice["_id"], "left_anti").unionByName(again)
+    return docs.join(gone, docs[id_col] == gone[name], "left_anti")

@@ -1,18 +1,21 @@
-"""License scans with DataFrame functions only: no Python on the executors, no shuffle.
+"""License scans with DataFrame functions only: no Python on the executors.
 
 A text is lower-cased and cut into words of letters and digits, and each five words in a row are a 64-bit shingle. Two
-lengths of overlapping windows are laid over the shingles: one as short as the shortest notice (a single shingle, whose
-MinHash is itself, so a template with that shingle is retrieved with certainty), and blocks of ``BLOCK`` shingles
-taken two by two (each window overlaps the next by half) for templates of ``LONG`` shingles or more. A window's band is
-the smallest of its shingles under one of ``BANDS`` orderings. Templates keep their shingles as the keys of the first kind
-and, for the second, the shingles that are the smallest of any window of the template at any offset; a window wholly
-inside an unchanged copy of a template has all of its shingles in it, so every band hits, and where a share s of the
-window is unchanged a band hits with probability about s: 1 - (1 - s)^(BANDS x windows) is over 0.999 for s = 0.8 and
-one window. Retrieved templates are then verified exactly: the share of the template's distinct shingles that the
-text has must be 0.8 or more.
-
-Null, empty and short texts have no shingles and no licenses; templates under five words are not accepted. Repeated
-rows give repeated results. The template table is bounded: its keys become constants of the plan (``MAX_TEMPLATE_SHINGLES``).
+lengths of overlapping windows are laid over the shingles of texts and templates: single shingles, for templates under
+``LONG`` shingles (the MinHash of such a window is the shingle, so a template with one of its shingles in the text is
+retrieved with certainty), and windows of two blocks of ``BLOCK`` shingles, which overlap by a block in texts and start
+at every place in templates. A window's key in a band is the smallest of its shingles' hashes under the band's seed, on
+both sides. A text window in a copy faces a template window at the same place; if a share s of its shingles is unchanged,
+the two have a Jaccard similarity of s / (2 - s), 2/3 for s = 0.8, and a band hits with that chance: over 0.9998 for one
+window and ``BANDS`` = 8. Further windows add to that, and one wholly unchanged hits for certain. Retrieved templates are
+then verified exactly: the share of the template's distinct shingles that the text has must be 0.8 or more.
+
+Up to ``CONSTANT_KEYS`` keys of templates become constants of the plan, and there is no shuffle; more stay a table,
+which the texts' distinct keys are joined with, so the number of templates has no limit.
+
+Null, empty and short texts have no shingles and no licenses; templates under five words match nothing. Very long texts
+are scanned whole, in one row's arrays. Repeated rows give repeated results, an empty table gives none. Other columns of
+the table may have any name.
 """
 
 from __future__ import annotations
@@ -22,14 +25,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut
+
 WORDS = 5
 BLOCK = 16
 LONG = 48
-BANDS = 4
+BANDS = 8
 CONTAINED = 0.8
-MAX_TEMPLATE_SHINGLES = 20_000
-#: Each band's ordering of shingles: by the value after an exclusive or with this.
-_ORDERS = [0, 0x5555555555555555, 0x3333333333333333 ^ 0x7F00FF00FF00FF00, 0x0F0F0F0F0F0F0F0F][:BANDS]
+CONSTANT_KEYS = 20_000
 
 # License notices and the operative paragraphs of public licenses.
 TEMPLATES = {
@@ -57,45 +60,69 @@ def shingles(text: Column) -> Column:
     return F.flatten(F.transform(F.array(words), windows))
 
 
-def bands(sh: Column) -> Column:
-    """The MinHash of each window of two blocks, for each ordering; no windows where there are under LONG shingles."""
-    def of(sh):
-        n = F.when(F.size(sh) >= 2 * BLOCK, F.floor(F.size(sh) / BLOCK)).otherwise(0).cast("int")
-        starts = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-        blocks = F.transform(starts, lambda b: F.slice(sh, b * BLOCK + 1, BLOCK))
-        return F.concat(*[smallest(blocks, F.lit(o)) for o in _ORDERS])
+def bands(sh: Column, step: int = BLOCK) -> Column:
+    """The MinHash of each window of two blocks, for each band; windows start at every ``step``-th place. None where there are under two blocks of shingles."""
+    def least(hs):
+        def of_blocks(seed):
+            hashed = F.transform(hs, lambda h: F.xxhash64(F.lit(seed), h))
+            starts = F.when(F.size(hs) >= BLOCK, F.sequence(F.lit(0), F.size(hs) - BLOCK, F.lit(step))).otherwise(F.array().cast("array<int>"))
+            return F.flatten(F.transform(F.array(hashed), lambda xs: F.transform(starts, lambda at: F.array_min(F.slice(xs, at + 1, BLOCK)))))
+
+        apart = BLOCK // step  # places between the blocks of a window
+        def of_windows(ms):
+            return F.transform(F.slice(ms, 1, F.greatest(F.size(ms) - apart, F.lit(0))), lambda m, i: F.least(m, F.get(ms, i + apart)))
+
+        return F.concat(*[F.flatten(F.transform(F.array(of_blocks(seed)), of_windows)) for seed in range(BANDS)])
+
+    return F.flatten(F.transform(F.array(sh), least))
 
-    def smallest(blocks, o):
-        least = F.transform(blocks, lambda b: F.array_min(F.transform(b, lambda h: h.bitwiseXOR(o))))
-        return F.flatten(F.transform(F.array(least), lambda ms: F.transform(F.slice(ms, 1, F.greatest(F.size(ms) - 1, F.lit(0))), lambda m, i: F.least(m, F.get(ms, i + 1)).bitwiseXOR(o))))
 
-    return F.flatten(F.transform(F.array(sh), of))
+def template_keys(templates: DataFrame) -> DataFrame:
+    """(template, sh, keys): the distinct shingles of each template (template, body) and the keys by which texts retrieve it."""
+    known = templates.select("template", shingles(F.col("body")).alias("all"))
+    known = known.select("template", F.array_distinct("all").alias("sh"), "all").where(F.size("sh") > 0)
+    return known.select("template", "sh", F.when(F.size("all") < LONG, F.col("sh")).otherwise(F.array_distinct(bands(F.col("all"), 1))).alias("keys"))
 
 
-def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, *, id_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
-    """Rows (id columns, template, n_matched, n_template, containment) for each text and template contained in it."""
-    spark = docs.sparkSession
-    known = spark.createDataFrame(sorted((templates or TEMPLATES).items()), "template string, body string").withColumn("sh", F.array_distinct(shingles(F.col("body")))).where(F.size("sh") > 0)
-    rows = known.select("template", "sh").collect()  # bounded: the templates are an argument
-    if sum(len(r.sh) for r in rows) > MAX_TEMPLATE_SHINGLES:
-        raise ValueError(f"templates have over {MAX_TEMPLATE_SHINGLES} shingles")
-    short = sorted({h for r in rows if len(r.sh) < LONG for h in r.sh})
-    long = sorted({h for r in rows if len(r.sh) >= LONG for h in r.sh})
+def scan_licenses(docs: DataFrame, templates: dict[str, str] | DataFrame | None = None, *, id_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text", constant_keys: int = CONSTANT_KEYS) -> DataFrame:
+    """Rows (id columns, template, n_matched, n_template, containment) for each text and template contained in it. templates: a dict, or a table (template, body) with distinct names."""
+    if not isinstance(templates, DataFrame):
+        templates = docs.sparkSession.createDataFrame(sorted((TEMPLATES if templates is None else templates).items()), "template string, body string")
+    known = template_keys(templates)
+    size = known.agg(F.sum(F.size("keys") + F.size("sh"))).first()[0] or 0
+    docs = docs.select(*[F.col(c).alias(f"id{i}") for i, c in enumerate(id_cols)], F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    found = _by_constants(docs, known.collect()) if size <= constant_keys else _by_join(docs, known)
+    ids = [F.col(f"id{i}").alias(c) for i, c in enumerate(id_cols)]
+    return found.where(F.col("n_matched") >= CONTAINED * F.col("n_template")).select(*ids, "template", "n_matched", "n_template", F.round(F.col("n_matched") / F.col("n_template"), 6).alias("containment"))
+
+
+def _by_constants(docs: DataFrame, rows: list) -> DataFrame:
+    """The templates' keys and shingles are constants. No shuffle."""
+    def long(r):
+        return len(r.sh) >= LONG or set(r.sh) != set(r.keys)
 
     def hit(keys: Column, among: list[int]) -> Column:
         return F.exists(keys, lambda k: k.isin(among)) if among else F.lit(False)
 
+    if not rows:
+        return docs.where("false").select("*", F.lit("").alias("template"), F.lit(0).alias("n_matched"), F.lit(0).alias("n_template"))
+    of_short = sorted({k for r in rows if not long(r) for k in r["keys"]})
+    of_long = sorted({k for r in rows if long(r) for k in r["keys"]})
     # The filter makes the shingles once, under a name; only the few rows that pass make them again.
-    maybe = docs.where(F.exists(F.array(shingles(F.col(text_col))), lambda x: hit(x, short) | hit(bands(x), long)))
-    maybe = maybe.select(*[F.col(c).alias(f"_id{i}") for i, c in enumerate(id_cols)], shingles(F.col(text_col)).alias("_sh"))
-    tries = [F.when(hit(bands(F.col("_sh")) if len(r.sh) >= LONG else F.col("_sh"), list(r.sh)), F.lit(r.template)) for r in rows]
-    if not tries:
-        return docs.select(*id_cols).where("false").withColumns({"template": F.lit(""), "n_matched": F.lit(0), "n_template": F.lit(0), "containment": F.lit(0.0)})
-    found = maybe.withColumn("_t", F.array_compact(F.array(*tries))).where(F.size("_t") > 0).select("*", F.explode("_t").alias("template")).drop("_t")
-    matched = reduce(lambda e, r: F.when(F.col("template") == r.template, F.size(F.array_intersect("_sh", F.array(*[F.lit(h) for h in r.sh])))).otherwise(e), rows, F.lit(None).cast("int"))
+    maybe = docs.where(F.exists(F.array(shingles(F.col("text"))), lambda x: hit(x, of_short) | hit(bands(x), of_long)))
+    maybe = maybe.withColumn("sh", shingles(F.col("text"))).drop("text")
+    tries = [F.when(hit(bands(F.col("sh")) if long(r) else F.col("sh"), list(r["keys"])), F.lit(r.template)) for r in rows]
+    found = maybe.withColumn("found", F.array_compact(F.array(*tries))).where(F.size("found") > 0).select("*", F.explode("found").alias("template"))
+    matched = reduce(lambda e, r: F.when(F.col("template") == r.template, F.size(F.array_intersect("sh", F.array(*[F.lit(h) for h in r.sh])))).otherwise(e), rows, F.lit(None).cast("int"))
     total = reduce(lambda e, r: F.when(F.col("template") == r.template, F.lit(len(r.sh))).otherwise(e), rows, F.lit(None).cast("int"))
-    return (
-        found.withColumn("n_matched", matched).withColumn("n_template", total)
-        .where(F.col("n_matched") >= CONTAINED * F.col("n_template"))
-        .select(*[F.col(f"_id{i}").alias(c) for i, c in enumerate(id_cols)], "template", "n_matched", "n_template", F.round(F.col("n_matched") / F.col("n_template"), 6).alias("containment"))
-    )
+    return found.withColumn("n_matched", matched).withColumn("n_template", total)
+
+
+def _by_join(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """Texts' distinct keys meet the templates' in a join; texts are known by their addresses, which go instead of them."""
+    known = cut(known, "templates")
+    texts = docs.select(F.unhex(F.sha2("text", 256)).alias("h"), "text")
+    keyed = texts.select("h", shingles(F.col("text")).alias("sh")).select("h", F.explode(F.array_distinct(F.concat("sh", bands(F.col("sh"))))).alias("key"))
+    pairs = keyed.join(known.select("template", F.explode("keys").alias("key")), "key").select("h", "template").distinct()
+    rows = docs.withColumn("h", F.unhex(F.sha2("text", 256))).join(pairs, "h").join(known.select("template", "sh"), "template")
+    return rows.withColumn("n_matched", F.size(F.array_intersect(shingles(F.col("text")), "sh"))).withColumn("n_template", F.size("sh"))

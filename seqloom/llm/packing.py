@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import small_batches
 
@@ -127,7 +128,8 @@ def pack(tokens: DataFrame, *, id_col: str = "doc_id", ids_col: str = "token_ids
     """Rows (row, n_tokens, token_ids, segment_ends, positions, doc_ids, doc_offsets); ids and positions are padded to length."""
     small_batches(tokens.sparkSession)
     kind = np.dtype("<u2" if max(vocabulary, length) <= 1 << 16 else "<u4")
-    fields = [("row", pa.int64()), ("n_tokens", pa.int32()), ("token_ids", pa.binary()), ("segment_ends", pa.list_(pa.int32())), ("positions", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("doc_offsets", pa.list_(pa.int32()))]
+    id_type = tokens.select(id_col).schema[0].dataType
+    fields = [("row", pa.int64()), ("n_tokens", pa.int32()), ("token_ids", pa.binary()), ("segment_ends", pa.list_(pa.int32())), ("positions", pa.binary()), ("doc_ids", pa.list_(to_arrow_type(id_type))), ("doc_offsets", pa.list_(pa.int32()))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, held, ids, sequences = TaskContext.get().partitionId() << 33, 0, [], []
@@ -152,8 +154,8 @@ def pack(tokens: DataFrame, *, id_col: str = "doc_id", ids_col: str = "token_ids
                 held, ids, sequences = 0, [], []
         yield from packed()
 
-    schema = "row long, n_tokens int, token_ids binary, segment_ends array<int>, positions binary, doc_ids array<long>, doc_offsets array<int>"
-    return tokens.select(F.col(id_col).cast("long"), F.coalesce(F.col(ids_col), F.array().cast("array<int>"))).mapInArrow(run, schema)
+    schema = f"row long, n_tokens int, token_ids binary, segment_ends array<int>, positions binary, doc_ids array<{id_type.simpleString()}>, doc_offsets array<int>"
+    return tokens.select(id_col, F.coalesce(F.col(ids_col), F.array().cast("array<int>"))).mapInArrow(run, schema)
 
 
 def unpacked(binary: bytes, n_tokens: int, vocabulary: int = 1 << 16, length: int = LENGTH) -> np.ndarray:

@@ -8,7 +8,7 @@ shrinkage is fitted from their spread, and sparse sites are drawn towards their
 posterior log-odds are its own plus what its path's rate adds to the global one; it is rejected under 0.5.
 
 Null and empty texts have no evidence of quality (all counts 0) and are rejected; null hosts and paths form a site of
-their own. With no usable labels the seed words and the counts' prior weights decide alone. Repeated rows and
+their own. Very long texts are scored whole; equal texts of one site get equal scores. Columns may have any name. With no usable labels the seed words and the counts' prior weights decide alone. Repeated rows and
 repeated ids are scored each for itself. An empty table gives no rows.
 """
 
@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, small_batches
+from .common import arrow_map, cut, small_batches, unused
 
 MAX_LABELLED = 20_000
 #: Sites up to this many go to every executor; more are joined by a shuffle.
@@ -200,19 +200,26 @@ def _strength(g: float, n: float, sites: int, sum_n_rate2: float) -> float:
 
 
 def judge(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", host: Column | None = None, path: Column | None = None, max_labelled: int = MAX_LABELLED, carry: tuple[str, ...] | None = None) -> DataFrame:
-    """The rows of docs (the columns in carry, or all) with _evidence, _shift, _posterior and _keep."""
+    """The rows of docs (the columns in carry, or all) with _evidence, _shift, _posterior and _keep; where a column has such a name already, more underscores follow."""
     model = fit(docs, labels, id_col=id_col, text_col=text_col, max_labelled=max_labelled)
     small_batches(docs.sparkSession)
     host = F.col("source") if host is None else host
     path = F.concat_ws("/", host, F.col("lang")) if path is None else path
-    named = docs.select(*(carry if carry is not None else docs.columns), host.cast("string").alias("_host"), path.cast("string").alias("_path"), evidence_column(model, F.col(text_col)).alias("_evidence"))
+    carry = list(carry if carry is not None else docs.columns)
+    own = [F.col(f"`{c}`").alias(f"own{i}") for i, c in enumerate(carry)]
     # Written once: each later use of a row would score it again.
-    named = cut(named, "scores")
-    sites = site_posteriors(named.select(F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_evidence").alias("evidence")))
-    sites = cut(sites.toDF("_h", "_p", "_s"), "posteriors")
+    named = cut(docs.select(*own, host.cast("string").alias("host"), path.cast("string").alias("path"), evidence_column(model, F.col(text_col)).alias("evidence")), "scores")
+    sites = cut(site_posteriors(named.select("host", "path", "evidence")).toDF("h", "p", "shift"), "posteriors")
     if sites.count() <= BROADCAST_SITES:
         sites = F.broadcast(sites)
-    joined = named.join(sites, F.col("_host").eqNullSafe(F.col("_h")) & F.col("_path").eqNullSafe(F.col("_p")), "left")
-    z = F.col("_evidence") + F.coalesce(F.col("_s"), F.lit(0.0))
-    kept = list(carry if carry is not None else docs.columns)
-    return joined.select(*kept, "_evidence", F.coalesce(F.col("_s"), F.lit(0.0)).alias("_shift"), (1 / (1 + F.exp(-z))).alias("_posterior"), (z >= 0).alias("_keep"))
+    joined = named.join(sites, F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("p")), "left")
+    shift = F.coalesce(F.col("shift"), F.lit(0.0))
+    z = F.col("evidence") + shift
+    new = zip(("evidence", "shift", "posterior", "keep"), (F.col("evidence"), shift, 1 / (1 + F.exp(-z)), z >= 0), strict=True)
+    return joined.select(*[F.col(f"own{i}").alias(c) for i, c in enumerate(carry)], *[x.alias(unused(docs.select(*[F.col(f"`{c}`") for c in carry]), n)) for n, x in new])
+
+
+def without_rejected(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
+    """The rows of docs that are kept, with their columns alone."""
+    judged = judge(docs, labels, **how)
+    return judged.where(F.col(judged.columns[-1])).select(*[F.col(f"`{c}`") for c in docs.columns])

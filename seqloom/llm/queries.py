@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import bpe, decontaminate, html_text, jaccard, licenses, media, packing, quality, secrets, suffixes
-from .common import table
+from .common import cut, table
 
 #: The tokenizer's file; its name for public_tokenizers.path().
 TOKENIZER = "word_bpe_49k.json"
@@ -26,7 +26,9 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+    """Two runs over one ledger: the first scans every blob, the second finds none unseen and reads all findings from the ledger."""
+    docs = table(spark, sf_dir, "documents")
+    return secrets.find_secrets(docs, cut(secrets.update_ledger(docs), "ledger"))
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

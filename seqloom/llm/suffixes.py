@@ -3,9 +3,9 @@
 Equal texts first collapse into one, that of the smallest id. Of the others, every string of ``length`` bytes picks one
 anchor by its content alone: the leftmost smallest hash of the ``gram``-byte strings in it. Equal strings have equal
 anchors at equal places, so only suffixes at anchors are sorted: about one in 30 bytes. A suffix's key starts with its
-leading bytes; sampled splitters range-partition the suffixes by it, buckets are sorted locally by numpy's sorts (by four
-leading bytes and a hash of the gram, then runs of equals by a hash of what follows), and neighbours are compared. Equal
-hashes count as equal bytes.
+leading bytes; sampled splitters range-partition the suffixes by it, buckets are sorted locally by multikey quicksort (by
+four leading bytes and a hash of the gram, then a hash of what surrounds it, then id and place), and neighbours are
+compared. Equal hashes count as equal bytes.
 Suffixes whose whole surroundings (all strings of that anchor) are equal are repeats but for the first. Where
 surroundings differ under one leading gram, or a run may go on in the next bucket, their strings are laid out singly,
 range-partitioned and sorted again, and compared across the boundaries of buckets too. Ids and places are part of the
@@ -13,7 +13,9 @@ keys, so no splitter has to keep a frequent passage in one bucket.
 
 Each byte covered by a string that also starts earlier (smaller id, or same text and earlier start) is removed. Null
 and empty texts have 0 bytes; texts shorter than ``length`` lose nothing. Rows with one id and equal texts count as one
-document and get equal results; a null id counts as the largest. An empty table gives no rows.
+document and get equal results; texts under one id that differ come in the order of their digests. Ids may be of any
+kind that has an order; a null id comes after all others. Very long texts are hashed a block at a time. An empty table
+gives no rows, and other columns, of any name, don't matter.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .common import arrow_map, cut, free, small_batches, tidy
 
@@ -34,8 +37,11 @@ GRAM = 40
 BLOCK = 1 << 20
 #: Suffixes of a bucket: it is sorted in one task's memory (about 60 bytes each).
 BUCKET = 400_000
+#: Rows of a bucket's part that multikey quicksort parts no further.
+SMALL = 4096
 _R1, _R2 = 0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1
-_NULL_ID = (1 << 63) - 1
+#: Null ids come behind all others.
+_NULL_ID = 1 << 63
 
 
 def _powers(r: int, n: int) -> np.ndarray:
@@ -139,23 +145,26 @@ def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Itera
         yield doc[part], (key ^ np.uint64(1 << 63)).view(np.int64), around.view(np.int64), offset[part] + first - begin[part], last - first + 1
 
 
-def multikey_order(keys: list[np.ndarray]) -> np.ndarray:
-    """The order of rows by several keys: by the first, then within runs of equals by the next, and so on."""
-    order = np.argsort(keys[0], kind="stable")
-    run = np.zeros(len(order), np.int64)
-    if len(order) > 1:
-        run[1:] = np.cumsum(keys[0][order[1:]] != keys[0][order[:-1]])
-    for k in keys[1:]:
-        size = np.bincount(run)[run] if len(run) else run
-        open_ = np.flatnonzero(size > 1)
-        if not open_.size:
-            break
-        rows = order[open_]
-        order[open_] = rows[np.lexsort((k[rows], run[open_]))]
-        v = k[order]
-        step = np.zeros(len(order), bool)
-        step[1:] = (run[1:] != run[:-1]) | (v[1:] != v[:-1])
-        run = np.cumsum(step)
+def multikey_order(keys: list[np.ndarray], small: int = SMALL) -> np.ndarray:
+    """The order of rows by several keys, by multikey quicksort: rows are parted into those below, at and above a pivot of one
+    key; those at it go on with the next key. Parts of up to ``small`` rows are left to a library sort."""
+    order = np.arange(len(keys[0]))
+    work = [(0, len(order), 0)]
+    while work:
+        lo, hi, depth = work.pop()
+        if hi - lo < 2 or depth == len(keys):
+            continue
+        rows = order[lo:hi]
+        if hi - lo <= small:
+            order[lo:hi] = rows[np.lexsort([k[rows] for k in reversed(keys[depth:])])]
+            continue
+        v = keys[depth][rows]
+        some = np.sort(v[:: max(1, len(v) // 255)])
+        pivot = some[len(some) // 2]
+        below, above = v < pivot, v > pivot
+        a, c = int(below.sum()), int(above.sum())
+        order[lo:hi] = np.concatenate((rows[below], rows[~(below | above)], rows[above]))
+        work += [(lo, lo + a, depth), (lo + a, hi - c, depth + 1), (hi - c, hi, depth)]
     return order
 
 
@@ -210,12 +219,17 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     spark = docs.sparkSession
     small_batches(spark)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    own = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("id"), F.col(id_col).alias("_raw"), F.substring(F.unhex(F.sha2(text, 256)), 1, 16).alias("h"), text.alias("t"))
+    kind, integral = docs.select(id_col).schema[0].dataType, False
+    if isinstance(kind, IntegralType):
+        integral, key = True, F.coalesce(F.col(id_col).cast("decimal(20,0)"), F.lit(str(_NULL_ID)).cast("decimal(20,0)"))
+    else:
+        key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"))
+    own = docs.select(key.alias("id"), F.col(id_col).alias("_raw"), F.substring(F.unhex(F.sha2(text, 256)), 1, 16).alias("h"), text.alias("t"))
     texts = cut(own.where(F.octet_length("t") >= length).groupBy("h").agg(F.min("id").alias("first_id"), F.first("t").alias("t")), "texts")
     written = [texts]
-    if texts.groupBy("first_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
-        texts = texts.select("h", "first_id", F.col("first_id").alias("rep"), "t")
-    else:  # several texts under one id: they are numbered in the order of ids
+    if integral and texts.groupBy("first_id").agg(F.count(F.lit(1)).alias("n")).where(f"n > 1 or first_id = {_NULL_ID}").isEmpty():
+        texts = texts.select("h", "first_id", F.col("first_id").cast("long").alias("rep"), "t")
+    else:  # several texts under one id, or ids that are no integers: texts are numbered in the order of ids
         numbers = cut(texts.select("first_id", "h").repartitionByRange("first_id", "h").sortWithinPartitions("first_id", "h").select("h", F.monotonically_increasing_id().alias("rep")), "numbers")
         texts = cut(texts.join(numbers, "h").select("h", "first_id", "rep", "t"), "texts")
         written.append(texts)
@@ -261,7 +275,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         rows = [_kept(t.encode(), at, length) for t, at in zip(ts, ats, strict=True)]
         return hs, ids, *([r[i] for r in rows] for i in range(4 + with_text))
 
-    schema = "h binary, first_id long, n_removed long, n_spans long, kept_sha256 string, n_kept long" + ", kept_text binary" * with_text
+    schema = f"h binary, first_id {texts.schema['first_id'].dataType.simpleString()}, n_removed long, n_spans long, kept_sha256 string, n_kept long" + ", kept_text binary" * with_text
     done = arrow_map(texts.join(spans, "rep", "left").select("h", "first_id", "t", "at"), keep, schema)
     done = cut(done, "done")
     for table in written:
