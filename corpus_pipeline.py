@@ -13,7 +13,7 @@ ORACLE_SQL = None
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.judge(docs, table(spark, sf_dir, "labels")).where("_keep").select(*docs.columns)
+    return quality.without_rejected(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
