@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import more_bindings  # noqa: F401  registers its queries
+from .plans import more_bindings, record_bindings  # noqa: F401  register their queries
 from .plans.bindings import ORACLE_SQL, QUERIES
 
 FLAGSHIP = "exn50"

@@ -181,10 +181,17 @@ def read_outfmt6(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def read_vcf(spark: SparkSession, paths: Paths) -> DataFrame:
-    """(acc, pos, id, ref, allele, info map of the entries that have a value)."""
+    """(acc, pos, id, ref, allele, info map). An entry without a value is a flag, and true; of a key that comes twice the first entry counts."""
     x = _fields(spark.read.text(paths).where(~F.col("value").rlike(r"^(#|\s*$)")), "acc string, pos int, id string, ref string, allele string, qual string, filter string, info string")
-    pairs = F.filter(F.split("info", ";"), lambda s: s.contains("="))
-    return x.select("acc", "pos", "id", "ref", "allele", F.map_from_entries(F.transform(pairs, lambda s: F.struct(F.substring_index(s, "=", 1), F.regexp_replace(s, "^[^=]*=", "")))).alias("info"))
+    value = lambda s: F.when(s.contains("="), F.regexp_replace(s, "^[^=]*=", "")).otherwise("true")
+    return x.select("acc", "pos", "id", "ref", "allele", _first_entries(F.filter(F.split("info", ";"), lambda s: (s != "") & (s != ".")), lambda s: F.substring_index(s, "=", 1), value).alias("info"))
+
+
+def _first_entries(parts: Column, key, value) -> Column:
+    """A map of the parts' keys and values; of a key that comes twice the first value counts."""
+    keys = F.transform(parts, key)
+    entries = F.transform(parts, lambda s: F.struct(key(s), value(s)))
+    return F.map_from_entries(F.filter(entries, lambda e, i: F.array_position(keys, e["col1"]) == i + 1))
 
 
 def read_bed(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -196,11 +203,11 @@ def read_bed(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def read_gff3(spark: SparkSession, paths: Paths) -> DataFrame:
-    """GFF3 rows with attributes as a map, values unescaped."""
+    """GFF3 rows with attributes as a map, values unescaped; of a key that comes twice the first counts."""
     x = _fields(spark.read.text(paths).where(~F.col("value").rlike(r"^(#|\s*$)")), GFF).drop("more")
     pairs = F.filter(F.split("attributes", ";"), lambda s: s.contains("="))
     decoded = lambda s: F.url_decode(F.regexp_replace(F.regexp_replace(s, "^[^=]*=", ""), r"\+", "%2B"))
-    return x.withColumn("attributes", F.map_from_entries(F.transform(pairs, lambda s: F.struct(F.trim(F.substring_index(s, "=", 1)), decoded(s)))))
+    return x.withColumn("attributes", _first_entries(pairs, lambda s: F.trim(F.substring_index(s, "=", 1)), decoded))
 
 
 def read_gtf(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -283,4 +290,4 @@ def sequence_lines(seqs: DataFrame, width: int = 60) -> DataFrame:
 def log_table(spark: SparkSession, paths: Paths) -> DataFrame:
     """(file, key, value) of logs with 'key | value' lines."""
     x = spark.read.text(paths).select(F.input_file_name().alias("file"), "value").where(F.col("value").contains("|"))
-    return x.select("file", F.trim(F.substring_index("value", "|", 1)).alias("key"), F.trim(F.regexp_replace("value", r"^[^|]*\|", "")).alias("value"))
+    return x.select("file", F.regexp_extract("value", r"^\s*([^|]*?)\s*\|", 1).alias("key"), F.regexp_extract("value", r"^[^|]*\|\s*(.*?)\s*$", 1).alias("value"))
