@@ -230,3 +230,20 @@ def numbered(df: DataFrame, *order: str) -> DataFrame:
     first = parts.groupBy("_p").agg(F.min("_i").alias("_f"), F.count(F.lit(1)).alias("_n"))
     before = first.withColumn("_b", F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))).na.fill(0, ["_b"])
     return parts.join(F.broadcast(before.select("_p", "_f", "_b")), "_p").withColumn("index", F.col("_i") - F.col("_f") + F.col("_b")).drop("_p", "_i", "_f", "_b")
+
+
+def running(df: DataFrame, value: str, *order: str, name: str = "run") -> DataFrame:
+    """Rows with the sum of value over all rows up to them in the order given, which should leave no ties: sums within range partitions plus what the partitions before hold. No single-task window."""
+    parts = cut_lineage(df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()))
+    own = F.sum(value).over(Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    whole = parts.groupBy("_p").agg(F.sum(value).alias("_s"))  # one row a partition
+    before = whole.select("_p", F.coalesce(F.sum("_s").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
+    return parts.withColumn(name, own).join(F.broadcast(before), "_p").withColumn(name, F.col(name) + F.col("_b")).drop("_p", "_b")
+
+
+def average_ranks(df: DataFrame, by: str, column: str, name: str) -> DataFrame:
+    """Rows with their rank by column among those of the same ``by``, ties sharing their mean. Ranks come from running sums over counts of values, so a group of any size is spread over tasks."""
+    c = running(df.groupBy(by, column).agg(F.count(F.lit(1)).alias("_n")), "_n", by, column, name="_run")
+    start = c.groupBy(by).agg(F.min(F.col("_run") - F.col("_n")).alias("_start"))
+    ranks = c.join(start, by).select(by, column, (F.col("_run") - F.col("_n") - F.col("_start") + (F.col("_n") + 1) / 2).alias(name))
+    return df.join(ranks, [by, column])

@@ -83,7 +83,8 @@ def relocated(segments: DataFrame) -> DataFrame:
 
 def split_at(frags: DataFrame, points: DataFrame, shortest: int = 50) -> DataFrame:
     """Intervals cut at the points (scaffold, pos) inside them; pieces shorter than shortest go, the last one stays."""
-    inside = frags.join(points, "scaffold").where("pos > lend and pos < rend").groupBy("scaffold", "lend", "rend").agg(F.array_sort(F.collect_set("pos")).alias("at"))
+    met = points_in_intervals(points, frags.select("scaffold", "lend", "rend").distinct(), "scaffold", "pos", ("lend", "rend"))
+    inside = met.where("pos > lend and pos < rend").groupBy("scaffold", "lend", "rend").agg(F.array_sort(F.collect_set("pos")).alias("at"))
     all_ = frags.join(inside, ["scaffold", "lend", "rend"], "left").withColumn("at", F.coalesce("at", F.array().cast("array<long>")))
     ends = F.concat("at", F.array(F.col("rend").cast("long")))
     starts = F.concat(F.array(F.col("lend").cast("long")), F.transform("at", lambda p: p + 1))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import stats
 from ..workers import importable
+from . import graphs
 
 CELL = ("feature", "sample", "value")
 
@@ -123,9 +124,9 @@ def tmm_factors(counts: DataFrame, *, logratio_trim: float = 0.3, sum_trim: floa
     y, n, r, m = (F.col(c).cast("double") for c in ("value", "lib", "r", "ref_lib"))
     both = counts.join(F.broadcast(lib.select("sample", "lib")), "sample").join(ref, "feature").where("value > 0 and r > 0")
     both = both.select("sample", F.log2((y / n) / (r / m)).alias("lr"), ((F.log2(y / n) + F.log2(r / m)) / 2).alias("ab"), ((n - y) / n / y + (m - r) / m / r).alias("v")).where(F.col("ab") > a_cutoff)
-    rank = lambda c: _average_rank(c, "sample")
-    size = Window.partitionBy("sample")
-    ranked = both.withColumn("n", F.count(F.lit(1)).over(size)).withColumn("rl", rank("lr")).withColumn("rs", rank("ab"))
+    both = graphs.cut_lineage(both)
+    sizes = both.groupBy("sample").agg(F.count(F.lit(1)).alias("n"))  # one row a sample
+    ranked = graphs.average_ranks(graphs.average_ranks(both, "sample", "lr", "rl"), "sample", "ab", "rs").join(F.broadcast(sizes), "sample")
     lo_l, lo_s = F.floor(F.col("n") * logratio_trim) + 1, F.floor(F.col("n") * sum_trim) + 1
     kept = ranked.where((F.col("rl") >= lo_l) & (F.col("rl") <= F.col("n") + 1 - lo_l) & (F.col("rs") >= lo_s) & (F.col("rs") <= F.col("n") + 1 - lo_s))
     mean = kept.groupBy("sample").agg((F.sum(F.col("lr") / F.col("v")) / F.sum(1 / F.col("v"))).alias("t"))
@@ -135,11 +136,6 @@ def tmm_factors(counts: DataFrame, *, logratio_trim: float = 0.3, sum_trim: floa
     return raw.crossJoin(F.broadcast(centre)).select("sample", F.col("lib").alias("lib_size"), F.pow(F.lit(2.0), F.col("t") - F.col("c")).alias("norm_factor"))
 
 
-def _average_rank(column: str, by: str) -> Column:
-    w = Window.partitionBy(by)
-    return F.rank().over(w.orderBy(column)) + (F.count(F.lit(1)).over(Window.partitionBy(by, column)) - 1) / 2
-
-
 def tmm_scaled(long: DataFrame, factors: DataFrame, decimals: int = 3) -> DataFrame:
     return long.join(F.broadcast(factors), "sample").select("feature", "sample", F.round(F.col("value") / F.col("norm_factor"), decimals).alias("value"))
 
@@ -234,7 +230,7 @@ def _paired(long: DataFrame, by: str, over: str) -> DataFrame:
 def sample_correlation(long: DataFrame, method: str = "pearson") -> DataFrame:
     """(a, b, cor, n) of each pair of samples over the features both have. The self-join is on the feature; its size is cells x samples."""
     if method == "spearman":
-        long = long.withColumn("value", _average_rank("value", "sample"))
+        long = graphs.average_ranks(long, "sample", "value", "_rank").select("feature", "sample", F.col("_rank").alias("value"))
     return _paired(long, "sample", "feature").groupBy("a", "b").agg(F.corr("va", "vb").alias("cor"), F.count(F.lit(1)).alias("n"))
 
 

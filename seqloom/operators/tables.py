@@ -147,9 +147,12 @@ def nx(lengths: DataFrame, percents: tuple[int, ...] = (10, 20, 30, 40, 50), by:
     """
     key = [by] if by else []
     c = lengths.groupBy(*key, "length").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(*key).orderBy(F.desc("length"))
-    total = c.groupBy(*key).agg(F.sum(F.col("length") * F.col("n")).alias("total"))
-    run = c.withColumn("run", F.sum(F.col("length") * F.col("n")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    c = c.withColumn("bases", F.col("length") * F.col("n"))
+    total = c.groupBy(*key).agg(F.sum("bases").alias("total"))
+    if by:
+        run = c.withColumn("run", F.sum("bases").over(Window.partitionBy(by).orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, 0)))
+    else:
+        run = graphs.running(c, "bases", F.desc("length"))
     x = run.join(total, key) if by else run.crossJoin(F.broadcast(total))
     out = [x.where(F.col("run") * 100 >= F.col("total") * p).groupBy(*key).agg(F.lit(p).alias("x"), F.max("length").alias("nx")) for p in percents]
     u = out[0]
@@ -161,16 +164,15 @@ def nx(lengths: DataFrame, percents: tuple[int, ...] = (10, 20, 30, 40, 50), by:
 def expression_nx(rows: DataFrame, x: int = 50) -> DataFrame:
     """(pct, length, features): the N50 of the most expressed features that together make pct percent of expression.
 
-    rows: (feature, length, expr). Running shares first, by (expression, length) classes; then each of the 100 percents
-    takes the N50 of its prefix from counts of (pct, length), a table whose size doesn't grow with the features.
+    rows: (feature, length, expr). Running shares first, by (expression, length) classes in range partitions; then each of
+    the 100 percents takes the N50 of its prefix from counts of (pct, length), a table whose size follows the distinct lengths.
     """
-    w = Window.orderBy(F.desc("expr"), F.desc("length"))
-    classes = rows.groupBy("expr", "length").agg(F.count(F.lit(1)).alias("n"))
-    total = classes.agg(F.sum(F.col("expr") * F.col("n")).alias("t"))
-    run = classes.withColumn("run", F.sum(F.col("expr") * F.col("n")).over(w.rowsBetween(Window.unboundedPreceding, 0))).crossJoin(F.broadcast(total)).withColumn("pct", F.floor(F.col("run") * 100 / F.col("t")).cast("int"))
+    classes = rows.groupBy("expr", "length").agg(F.count(F.lit(1)).alias("n")).withColumn("share", F.col("expr") * F.col("n"))
+    total = classes.agg(F.sum("share").alias("t"))
+    run = graphs.running(classes, "share", F.desc("expr"), F.desc("length")).crossJoin(F.broadcast(total)).withColumn("pct", F.floor(F.col("run") * 100 / F.col("t")).cast("int"))  # one row
     c = run.groupBy("pct", "length").agg(F.sum("n").alias("n"))
-    upto = c.select("pct").distinct().withColumnRenamed("pct", "p")
-    prefix = upto.join(F.broadcast(c), F.col("pct") <= F.col("p")).groupBy("p", "length").agg(F.sum("n").alias("n"))
+    upto = c.select("pct").distinct().withColumnRenamed("pct", "p")  # 101 rows at most
+    prefix = c.withColumn("p", F.explode(F.sequence("pct", F.lit(100)))).join(F.broadcast(upto), "p").groupBy("p", "length").agg(F.sum("n").alias("n"))
     v = Window.partitionBy("p").orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, 0)
     size = prefix.groupBy("p").agg(F.sum(F.col("length") * F.col("n")).alias("bases"), F.sum("n").alias("features"))
     y = prefix.withColumn("cum", F.sum(F.col("length") * F.col("n")).over(v)).join(size, "p").where(F.col("cum") * 100 >= F.col("bases") * x)
@@ -180,7 +182,7 @@ def expression_nx(rows: DataFrame, x: int = 50) -> DataFrame:
 def counts_above(values: DataFrame, column: str) -> DataFrame:
     """(threshold, features): how many values round to the threshold or more, for each rounded value that occurs."""
     c = values.select(F.floor(F.col(column) + 0.5).cast("long").alias("threshold")).groupBy("threshold").agg(F.count(F.lit(1)).alias("n"))
-    return c.select("threshold", F.sum("n").over(Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)).alias("features"))
+    return graphs.running(c, "n", F.desc("threshold"), name="features").select("threshold", "features")
 
 
 def elbow(values: DataFrame, least: float = 0.05, most: float = 32.0) -> DataFrame:
