@@ -11,7 +11,7 @@ from ..functions import stats
 from ..operators import genes, graphs, hits, intervals, kmers, matrix, reports, tables
 from ..sources import formats
 from ..streaming import events as streams
-from .bindings import _part_edges, _PART_EDGES, cells, changes, frags, genemap, hit_rows, query, read, rep_map, reps, seqs, wide_rates
+from .bindings import ORACLE_SQL, _part_edges, _PART_EDGES, cells, changes, frags, genemap, hit_rows, query, read, rep_map, reps, seqs, wide_rates
 
 #: A table's files come in no order of time: nothing counts as too late.
 ANY_LATE = "36500 days"
@@ -310,7 +310,12 @@ def pairwise_summary(s: SparkSession, d: str) -> DataFrame:
     return reports.pairwise_summary(changes(s, d), cells(s, d), "A", "R", 0.05, 0.1).withColumn("log2_ratio", F.round("log2_ratio", 6))
 
 
-@query()
+_ONLY = "array_to_string(list_sort(list_filter(list_distinct(list({0})), lambda x: NOT list_contains(list({1}), x))), ',') AS {0}"
+
+
+@query(f"""SELECT feature, {_ONLY.format('up', 'down')}, {_ONLY.format('down', 'up')}, (min(hi) - max(lo)) / (max(lo) + 1) AS priority FROM (
+ SELECT feature, CASE WHEN x > y THEN a ELSE b END AS up, CASE WHEN x > y THEN b ELSE a END AS down, greatest(x, y) AS hi, least(x, y) AS lo FROM (
+  SELECT feature, 'A' AS a, 'N' AS b, va AS x, vn AS y FROM rates UNION ALL SELECT feature, 'A', 'R', va, vr FROM rates UNION ALL SELECT feature, 'N', 'R', vn, vr FROM rates) WHERE x > y * 1.5 OR y > x * 1.5) GROUP BY feature""")
 def feature_classes(s: SparkSession, d: str) -> DataFrame:
     w = wide_rates(s, d)
     rows = None
@@ -321,7 +326,7 @@ def feature_classes(s: SparkSession, d: str) -> DataFrame:
     return reports.classified(rows)
 
 
-@query()
+@query("SELECT feature, sample, round(value * 1e9 / (length * lib_size * norm_factor), 3) AS value FROM cells JOIN genemap USING (feature) JOIN ({}) USING (sample)".format(ORACLE_SQL["tmm_norm"].replace("round(pow(2, max(t) - avg(max(t)) OVER ()), 6)", "pow(2, max(t) - avg(max(t)) OVER ())")))
 def tmm_fpkm(s: SparkSession, d: str) -> DataFrame:
     c = cells(s, d)
     return matrix.tmm_fpkm(c, genemap(s, d).select("feature", "length"), matrix.tmm_factors(c)).withColumn("value", F.round("value", 3))
@@ -429,7 +434,11 @@ def capped_clusters(s: SparkSession, d: str) -> DataFrame:
     return graphs.capped_clusters(_part_edges(s, d).groupBy("a", "b").agg(F.count(F.lit(1)).alias("weight")), 25)
 
 
-@query()
+_MERS = "SELECT DISTINCT accession, gene, least(kmer, reverse(translate(kmer, 'ACGT', 'TGCA'))) AS kmer FROM (SELECT accession, gene, unnest(list_transform(range(1, length(sequence) - 23), lambda i: substr(sequence, i, 25))) AS kmer FROM seqs WHERE length(sequence) >= 25)"
+
+
+@query(f"""SELECT * FROM (WITH k AS ({_MERS}), hits AS (SELECT accession, bundle, count(*) AS shared FROM (SELECT DISTINCT accession, kmer FROM k) JOIN (SELECT DISTINCT gene AS bundle, kmer FROM k) USING (kmer) GROUP BY ALL)
+SELECT accession, bundle, shared, shared * 100.0 / total AS percent FROM hits JOIN (SELECT accession, count(DISTINCT kmer) AS total FROM k GROUP BY accession) USING (accession) WHERE shared * 100.0 / total >= 10 QUALIFY row_number() OVER (PARTITION BY accession ORDER BY shared DESC, bundle) = 1)""")
 def read_bundles(s: SparkSession, d: str) -> DataFrame:
     """Each sequence's best source by shared k-mers."""
     x = seqs(s, d)
