@@ -19,6 +19,8 @@ import re
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -118,10 +120,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         return qs, ts, [counts(x) for x in texts], [sorted(traits((x or "").lower())) for x in texts]
 
     seen = cut(arrow_map(rows.select("q", "t", "text"), f, "q int, t int, x array<double>, words array<string>"), "labelled")
-    got = seen.select("q", "t", "x").toPandas()
-    if not len(got):
+    got = seen.select("q", "t", "x").toArrow()  # bounded by max_labelled
+    if not got.num_rows:
         return model
-    x, q, t = _widened(np.stack([np.asarray(v, float) for v in got["x"]])), got["q"].to_numpy(float), got["t"].to_numpy(float)
+    x = _widened(got["x"].combine_chunks().flatten().to_numpy().reshape(got.num_rows, -1))
+    q, t = (got[c].to_numpy().astype(float) for c in ("q", "t"))
     if len(q) >= 50 and min(q.sum(), len(q) - q.sum()) >= 5:
         model.quality = fit_logistic(x, q)
     n, n_toxic = len(t), t.sum()
@@ -130,23 +133,26 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         rate, vocabulary = n_toxic / n, tested.count()
         often = [(_tail(r.a, r.n, rate), r.word) for r in tested.where("a >= 4").collect()]  # bounded by the labelled sample
         lexicon = sorted({*SEED_WORDS, *(w for p, w in sorted(often)[:MAX_LEXICON] if p * vocabulary < 1)})
-        hits = seen.select(F.array_intersect("words", F.array(*map(F.lit, lexicon))).alias("hits"), F.col("t")).toPandas()
-        at, z = {w: i for i, w in enumerate(lexicon)}, np.zeros((len(hits), len(lexicon)))
-        for row, found in enumerate(hits["hits"]):
-            z[row, [at[w] for w in found]] = 1
-        weights = _fit_lexicon(z, hits["t"].to_numpy(float), np.array([6.0 if w in SEED_WORDS else 0.0 for w in lexicon]))
+        hits = seen.select(F.array_intersect("words", F.array(*map(F.lit, lexicon))).alias("hits"), F.col("t")).toArrow()
+        found, z = hits["hits"].combine_chunks(), np.zeros((hits.num_rows, len(lexicon)), bool)
+        z[np.repeat(np.arange(len(found)), found.value_lengths().to_numpy()), pc.index_in(found.flatten(), pa.array(lexicon)).to_numpy()] = True
+        weights = _fit_lexicon(z, hits["t"].to_numpy().astype(float), np.array([6.0 if w in SEED_WORDS else 0.0 for w in lexicon]))
         model.toxic_bias, model.words = float(weights[0]), {w: float(v) for w, v in zip(lexicon, weights[1:], strict=True)}
     return model
 
 
-def _fit_lexicon(z: np.ndarray, y: np.ndarray, prior: np.ndarray, ridge: float = 0.15) -> np.ndarray:
-    """Weights of present words, the bias first, drawn towards the prior ones."""
-    z = np.hstack([np.ones((len(z), 1)), z])
+def _fit_lexicon(z: np.ndarray, y: np.ndarray, prior: np.ndarray, ridge: float = 0.15, rows: int = 1024) -> np.ndarray:
+    """Weights of present words, the bias first, drawn towards the prior ones. z is taken as numbers some rows at a time."""
     w, pull = np.array([-4.0, *prior]), np.array([1e-6, *[ridge] * len(prior)])
     aim = w.copy()
     for _ in range(50):
-        p = _sigmoid(z @ w)
-        step = np.linalg.solve((z.T * (p * (1 - p) + 1e-9)) @ z + np.diag(pull), z.T @ (y - p) - pull * (w - aim))
+        curve, slope = np.diag(pull), -pull * (w - aim)
+        for at in range(0, len(z), rows):
+            part = np.hstack([np.ones((len(z[at : at + rows]), 1)), z[at : at + rows]])
+            p = _sigmoid(part @ w)
+            curve += (part.T * (p * (1 - p) + 1e-9)) @ part
+            slope += part.T @ (y[at : at + rows] - p)
+        step = np.linalg.solve(curve, slope)
         w += np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-6:
             break
