@@ -84,7 +84,7 @@ def test_readers(spark, tmp_path):
     assert (sam.flag, sam.pos, sam.cigar, sam.tags) == (89, 5, "3M", ["NH:i:1", "XS:A:+"])
     psl = formats.psl_blocks(formats.read_psl(spark, put("a.psl", "10\t0\t0\t0\t0\t0\t0\t0\t-\tq\t12\t1\t11\tt\t50\t4\t14\t1\t10,\t1,\t4,\n"))).first()
     assert [tuple(b) for b in psl.t_blocks] == [(5, 14)] and [tuple(b) for b in psl.q_blocks] == [(11, 2)]
-    assert formats.read_vcf(spark, put("a.vcf", "#x\nc\t7\t.\tA\tG\t1\tPASS\tDP=4;DB;AF=0.5\n")).first().info == {"DP": "4", "AF": "0.5"}
+    assert formats.read_vcf(spark, put("a.vcf", "#x\nc\t7\t.\tA\tG\t1\tPASS\tDP=4;DB;AF=0.5\n")).first().info == {"DP": "4", "DB": "true", "AF": "0.5"}
     bed = formats.read_bed(spark, put("a.bed", "track x\nc\t10\t30\tn\t0\t+\t10\t30\t0\t2\t5,6,\t0,14,\n")).first()
     assert [tuple(b) for b in bed.blocks] == [(11, 15), (25, 30)]
     wig = formats.read_wig(spark, put("a.wig", "track\nvariableStep chrom=c1\n2 5\n4 7\nvariableStep chrom=c2\n1 9\n"))
