@@ -301,12 +301,18 @@ def similar_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     m1, m2 = own.toDF("g1", "a", "c1"), own.toDF("g2", "b", "c2")
     rest = met2.join(m1, "g1").join(m2, "g2").where("c1 <> c2").where("g1 <> g2 or a < b").select("a", "b").distinct()
     more = cut(verified(rest, docs, classes, id_col, text_col, shingle, percent), "links")
-    if not more.isEmpty():
-        comp = components(links.union(more))
-    named = classes.select("cid", "rep").join(comp, classes.cid == comp.node, "left").select("cid", "rep", F.coalesce("comp", "cid").alias("comp"))
-    least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
+    held = own.select("cid", F.col("comp").alias("first")).join(classes.select("cid", "rep"), "cid")
+    least = cut(held.groupBy("first").agg(F.min("rep").alias("least")), "least")
+    if more.isEmpty():
+        least = least.withColumnRenamed("least", "component_id")
+    else:
+        # The first round's components are the nodes now, so this graph has an edge only where that round left a gap.
+        ends = [own.select(F.col("cid").alias(c), F.col("comp").alias(f"c{c}")) for c in "ab"]
+        top = components(more.join(ends[0], "a").join(ends[1], "b"), a="ca", b="cb")
+        known = cut(least.join(top, F.col("first") == F.col("node"), "left").select("first", "least", F.coalesce("comp", "first").alias("last")), "known")
+        least = known.join(known.groupBy("last").agg(F.min("least").alias("component_id")).hint("merge"), "last").select("first", "component_id")
     # Classes by themselves need no partner in this join; those of a very large component share its key, which adaptive execution splits.
-    named = cut(named.join(least.hint("merge"), "comp").select("cid", "component_id"), "named")
+    named = cut(held.join(least.hint("merge"), "first").select("cid", "component_id"), "named")
     out = sigs.select("id", "n", "cid").join(named.hint("merge"), "cid", "left")
     return out.select("id", F.col("n").cast("long").alias("n_shingles"), "cid", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
