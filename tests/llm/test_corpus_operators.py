@@ -74,6 +74,26 @@ def test_leaders_do_not_hide_links(spark, corpus, monkeypatch):
     assert {r.id: (r.n_shingles, r.component_id) for r in got} == groups(corpus, 4, 85)
 
 
+@pytest.mark.parametrize("left", ["pmod(xxhash64(a, b), 3) = 0", "false"])
+def test_second_round_joins_what_the_first_left(spark, corpus, monkeypatch, left):
+    """The first round's links are thinned, so that its components lie apart and are joined by the second."""
+    runs, verified, components = [], jaccard.verified, jaccard.components
+
+    def thinned(*args):
+        runs.append("verified")
+        return verified(*args).where(left) if runs.count("verified") == 1 else verified(*args)
+
+    def counted(*args, **how):
+        runs.append("components")
+        return components(*args, **how)
+
+    monkeypatch.setattr(jaccard, "verified", thinned)
+    monkeypatch.setattr(jaccard, "components", counted)
+    got = jaccard.similar_classes(frame(spark, corpus)).collect()
+    assert runs == ["verified", "components", "verified", "components"]
+    assert {r.id: (r.n_shingles, r.component_id) for r in got} == groups(corpus, 4, 85)
+
+
 def test_near_duplicates_leave_one_of_each(spark, corpus):
     df = frame(spark, corpus)
     kept = jaccard.without_near_duplicates(df)
