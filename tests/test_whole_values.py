@@ -81,3 +81,27 @@ def test_abundance_says_that_it_did_not_settle(spark):
     lengths = spark.createDataFrame([("a", 900), ("b", 500)], "transcript string, length long")
     with pytest.warns(RuntimeWarning, match="did not settle in 1 rounds"):
         genes.abundance(hits, lengths, rounds=1).collect()
+
+
+@pytest.mark.parametrize("scale, shift", [(1.0, 0.0), (0.1, 1e6), (1e-4, 0.3)])
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_blocks_of_features_are_whole(spark, kind, scale, shift):
+    """Missing cells, more features than a block, names of both kinds, values whose squares cancel."""
+    name = (lambda f: f) if kind == "long" else (lambda f: f"g{f:03d}")
+    rows = [(name(f), f"s{s}", ((f * f * 7 + s * s * (f % 13 + 1)) % 29) * scale + shift) for f in range(150) for s in range(9) if (f + 2 * s) % 5]
+    rows += [(name(200), f"s{s}", 0.1) for s in range(9)] + [(name(201), "s1", None), (name(201), "s2", float("nan")), (None, "s1", 1.0)]
+    values = defaultdict(dict)
+    for f, s, v in rows:
+        if f is not None and v is not None and v == v:
+            values[f][s] = (v - shift) / scale if f != name(200) else 1.0
+    long = spark.createDataFrame(rows, f"feature {kind}, sample string, value double")
+    got = matrix.correlated_features(long, spark.createDataFrame([(name(f),) for f in (0, 7, 40, 140, 200)], f"feature {kind}"), 4, 0.2, block=90).collect()
+    want = best(values, [name(f) for f in (0, 7, 40, 140, 200)], 4, 0.2)
+    assert {(r.target, round(r.cor, 6)) for r in got} == {(t, round(c, 6)) for t, _, c in want}
+    assert len(got) == len(want) and (scale < 1 or {(r.target, r.feature) for r in got} == {(t, f) for t, f, _ in want})
+
+
+def test_no_pair_of_features_is_a_row(spark):
+    long = spark.range(40).selectExpr("id % 20 AS feature", "concat('s', id div 20) AS sample", "CAST(id * id % 7 AS double) AS value")
+    plan = matrix.correlated_features(long, long.select("feature").distinct())._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner, (sample" not in plan
