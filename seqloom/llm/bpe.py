@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from .common import arrow_map
 
 LEAF = 4096
-#: Entries of a worker's cache, about 200 bytes each; workers live on from stage to stage with what they hold.
+#: Entries of a worker's cache, about 200 bytes each, in two generations: what was used since the younger began outlives the older. Workers live on
+#: from stage to stage with what they hold.
 CACHE_CHUNKS = 200_000
 CACHE_CHUNK_CHARS = 64
 _CHUNK = re.compile(r"[^ \t\n\r\x0b\x0c]+")
@@ -37,13 +38,32 @@ _PLAIN = re.compile(rf"[\t\n\r !-&(-;=-~{_LATIN}À-ÖØ-Þ]*+")
 _PIECE = re.compile(rf"[{_LATIN}]+|[0-9]|[^\t\n\r {_LATIN}0-9]+")
 #: Bytes that the vocabulary writes as the letters from 256 on, in this order.
 _HIDDEN = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
-#: A short pre-token by itself, lower case, and the vocabulary's letters for the bytes of those that aren't ASCII.
-_SINGLE = re.compile(rf"[{_LATIN}]{{1,64}}|[!-&(-/:;=-@\[-`{{-~]{{1,64}}")
+_PACKED = [struct.Struct(f"<{n}I").pack for n in range(65)]
+#: The vocabulary's letters for the bytes of those that aren't ASCII.
 _BYTES = {c: "".join(chr(b) for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 _BYTES = {c: "".join(chr(256 + _HIDDEN.index(ord(x))) if ord(x) in _HIDDEN else x for x in s) for c, s in _BYTES.items()}
 SCHEMA = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
+class _Cache(dict):
+    """Ids of chunks; a pre-token that is missing is made. ``older`` is the generation before, whose entries come over when they are used."""
+
+    def __init__(self, make, older: dict[str, bytes] | None = None):
+        self.make, self.older = make, older or {}
+
+    def __missing__(self, p: str) -> bytes:
+        out = self.older.get(p)
+        if out is None:
+            out = self.make(p)
+        if len(p) <= CACHE_CHUNK_CHARS:
+            self[p] = out
+        return out
+
+    def turned(self) -> _Cache:
+        """A new generation once this one is full."""
+        return self if len(self) <= CACHE_CHUNKS // 2 else _Cache(self.make, dict(self))
+
+
 class TreeEncoder:
     """Encodes and decodes as the library does with add_special_tokens=False and skip_special_tokens=False."""
 
@@ -53,9 +73,9 @@ class TreeEncoder:
         self.tok, self.leaf = Tokenizer.from_file(path), leaf
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.plain = self.tok.decoder is None
+        self.model, self.plain = self.tok.model, self.tok.decoder is None
         self.words = self.tok.pre_tokenizer is not None and '"invert":true' in self.tok.to_str().replace(" ", "") and self.plain
-        self.cache: dict[str, bytes] = {}
+        self.cache = _Cache(self._piece)
         self.names: list[str] | None = None
         added = sorted((t.content for t in self.tok.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.added = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
@@ -111,23 +131,18 @@ class TreeEncoder:
 
     # Whole texts -----------------------------------------------------------------------------------------------
     def _piece(self, p: str) -> bytes:
-        """The ids of one pre-token of plain letters or signs: no need of the stages before the model."""
-        out = self.cache.get(p)
-        if out is None:
-            tokens = self.tok.model.tokenize(p if p.isascii() else p.translate(_BYTES))
-            out = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
-            if len(p) <= CACHE_CHUNK_CHARS:
-                self.cache[p] = out
-        return out
+        """The ids of one pre-token of plain letters or signs, as little-endian 32-bit integers: no need of the stages before the model."""
+        ids = [t.id for t in self.model.tokenize(p if p.isascii() else p.translate(_BYTES))] if len(p) <= self.leaf else self._long(p)
+        return _PACKED[len(ids)](*ids) if len(ids) < len(_PACKED) else struct.pack(f"<{len(ids)}I", *ids)
 
     def _learn(self, chunks: set[str]) -> None:
         """Puts the chunks' ids into the cache, as little-endian 32-bit integers."""
         short, cache = [], self.cache
         for c in chunks:
-            if _SINGLE.fullmatch(c):
-                cache[c] = self._piece(c)
+            if c in cache.older:
+                cache[c] = cache.older[c]
             elif len(c) <= self.leaf and _PLAIN.fullmatch(c):
-                cache[c] = b"".join([self._piece(p) for p in _PIECE.findall(c.lower())])
+                cache[c] = b"".join([cache[p] for p in _PIECE.findall(c.lower())])
             elif len(c) <= self.leaf:
                 short.append(c)
             else:
@@ -146,16 +161,20 @@ class TreeEncoder:
         """For each text its ids as little-endian 32-bit integers."""
         if not self.words:
             return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.tok.encode_batch(texts, add_special_tokens=False)]
-        chunks = [_PIECE.findall(t.lower()) if _PLAIN.fullmatch(t) else _CHUNK.findall(t) for t in texts]
-        if len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
-        new = set().union(*chunks) - self.cache.keys()
-        self._learn(new)
-        get = self.cache.__getitem__
-        out = [b"".join(map(get, cs)) for cs in chunks]
-        for c in new:
-            if len(c) > CACHE_CHUNK_CHARS:
-                self.cache.pop(c, None)
+        out, self.cache = [b""] * len(texts), self.cache.turned()
+        other = {i: _CHUNK.findall(t) for i, t in enumerate(texts) if not _PLAIN.fullmatch(t)}
+        if other:
+            new = set().union(*other.values()).difference(self.cache)
+            self._learn(new)
+            for i, chunks in other.items():
+                out[i] = b"".join(map(self.cache.__getitem__, chunks))
+            for c in new:
+                if len(c) > CACHE_CHUNK_CHARS:
+                    self.cache.pop(c, None)
+        for i, t in enumerate(texts):
+            if i not in other:
+                self.cache = self.cache.turned()
+                out[i] = b"".join(map(self.cache.__getitem__, _PIECE.findall(t.lower())))
         return out
 
     def decode_batch(self, ids: list[bytes]) -> list[str]:
