@@ -95,7 +95,7 @@ def sharing_links(seqs: DataFrame, k: int, canonical: bool = False) -> DataFrame
 
 
 #: Letters by whose least hash a k-mer is dealt, parts that k-mers are dealt to, k-mers of a run at most, and letters that are looked at together.
-MINIMIZER, PARTS, LONGEST_RUN, LETTERS = 9, 4096, 4096, 1 << 23
+MINIMIZER, PARTS, LONGEST_RUN, LETTERS = 11, 4096, 4096, 1 << 23
 _CODES = np.full(256, 4, np.uint8)
 _CODES[[ord(c) for c in "ACGT"]] = range(4)
 
